@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,21 +19,21 @@ END_MARKS = r"(?i)^\s*(\*{3}|End\s+of\s+Document)\s*$"
 READING_TIME = r"^(本文共\d+字|预计阅读时间)"
 
 
-def in_lookback(published_on: Column, now: Column, days: int = 1) -> Column:
+def in_lookback(published_on: Column, now: Column | date, days: int = 1) -> Column:
     """Dated from the start of the day ``days`` before ``now``; no upper bound."""
-    return published_on >= F.date_sub(now.cast("date"), days)
+    return published_on >= F.date_sub(F.lit(now).cast("date"), days)
 
 
-def lookback(df: DataFrame, now: Column, days: int = 1, day: str = "published_on") -> DataFrame:
+def lookback(df: DataFrame, now: Column | date, days: int = 1, day: str = "published_on") -> DataFrame:
     return df.filter(in_lookback(F.col(day), now, days))
 
 
 def apply_undated_policy(
-    df: DataFrame, now: Column, day: str = "published_on", policy: str = "on_unparsed", days: int = 1
+    df: DataFrame, now: Column | date, day: str = "published_on", policy: str = "on_unparsed", days: int = 1
 ) -> DataFrame:
     """``drop`` removes undated items, ``today`` dates them today, ``keep_raw`` lets
     them pass the window undated."""
-    resolved = df.withColumn(day, resolve_undated(F.col(day), F.col(policy), now.cast("date")))
+    resolved = df.withColumn(day, resolve_undated(F.col(day), F.col(policy), F.lit(now).cast("date")))
     raw = F.col(day).isNull() & (F.col(policy) == "keep_raw")
     return resolved.filter(raw | in_lookback(F.col(day), now, days))
 

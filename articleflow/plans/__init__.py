@@ -1 +1,6 @@
 """Registered queries over the given tables and their SQL counterparts."""
+
+from articleflow.plans import incremental
+from articleflow.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

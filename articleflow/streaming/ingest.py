@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from articleflow.operators.incremental import canonicalize, new_rows
 from articleflow.sources.tables import create_history, read_history, write_load
 
 
-def load_batch(batch: DataFrame, history: DataFrame, now: Column, pos: str, days: int = 1) -> DataFrame:
+def load_batch(batch: DataFrame, history: DataFrame, now: Column | date, pos: str, days: int = 1) -> DataFrame:
     """Recent, first-seen, unknown rows of a batch, as canonical articles.
 
     ``batch`` needs ``published_on`` and ``uid``. Texts are cleaned last, so only
@@ -24,7 +25,7 @@ def load_batch(batch: DataFrame, history: DataFrame, now: Column, pos: str, days
 
 def ingest(
     stream: DataFrame, history_path: str, checkpoint: str, pos: str,
-    clock: Callable[[int], Column], days: int = 1, **writer: str,
+    clock: Callable[[int], Column | date], days: int = 1, **writer: str,
 ):
     """Start the ingest over what is there and return the query.
 
