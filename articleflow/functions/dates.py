@@ -12,7 +12,7 @@ import calendar
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from articleflow.functions.text import WORD, strip, text_of
+from articleflow.functions.text import WORD, bind, strip, text_of
 
 FULL = [m.lower() for m in calendar.month_name[1:]]
 ABBR = [m.lower() for m in calendar.month_abbr[1:]]
@@ -60,6 +60,10 @@ def feed_timestamp(raw: Column, to_utc: bool = False) -> Column:
     """
     s = strip(text_of(raw))
     s = F.regexp_replace(s, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s*", "")
+    return bind(s, lambda t: _feed_timestamp(t, to_utc))
+
+
+def _feed_timestamp(s: Column, to_utc: bool) -> Column:
     offset = r"\s*(?:Z|[A-Z]{1,5}|(?:GMT|UTC)?[+-]\d{2}:?\d{2})?$"
     full = [
         (rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}{offset}", "ymd"),
@@ -146,7 +150,11 @@ def entry_date(raw: Column, search_text: Column, current_year: int) -> Column:
 
 def site_date(style: Column, raw: Column, today: Column) -> Column:
     """Listing date by the source's date style; null when it cannot be read."""
-    s = strip(F.regexp_replace(text_of(raw), "&nbsp;", " "))
+    clean = strip(F.regexp_replace(text_of(raw), "&nbsp;", " "))
+    return bind(clean, lambda s: _site_date(style, s, today))
+
+
+def _site_date(style: Column, s: Column, today: Column) -> Column:
     d, y = r"(\d{1,2})", r"(\d{4})"
     dmy_full, dmy_abbr = rf"(?i)^{d}\s+{_FULL}\s+{y}$", rf"(?i)^{d}\s+{_ABBR}\s+{y}$"
     two = lambda t: F.coalesce(shaped(t, dmy_full, "dMy"), shaped(t, dmy_abbr, "dMy"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -29,6 +30,15 @@ WS_CHARS = "".join(
 WORD = r"\p{L}\p{N}_"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    The optimizer would otherwise paste ``value`` into each place that uses it, which
+    repeats the work and makes the generated code too large to compile.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_of(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
@@ -129,6 +139,10 @@ def _code_point(number: Column) -> Column:
 
 def unescape(col: Column) -> Column:
     """Decode character references; texts without ``&`` are passed through."""
+    return bind(col, _unescaped)
+
+
+def _unescaped(col: Column) -> Column:
     token = r"(?s)&#?[0-9A-Za-z]{1,10};|[^&]+|&"
     named = _entity_map()
 

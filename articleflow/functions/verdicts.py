@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from articleflow.functions.text import first_filled, text_of
+from articleflow.functions.text import bind, first_filled, text_of
 
 # Status names, reasons and the message of a double failure.
 ERROR, PARSE_ERROR, SUCCESS = "error", "parse_error", "success"
@@ -60,42 +60,36 @@ def _plain_text(value: Column) -> Column:
     return F.when(_kind(value) != "VOID", F.try_variant_get(value, "$", "string"))
 
 
-def answer_fields(raw: Column, obj: Column) -> dict[str, Column]:
-    """Scalars of one answer. ``obj`` is ``parse_object(raw)``, already computed."""
-    empty = _kind(obj) == "OBJECT<>"
+def answer(raw: Column) -> Column:
+    """The scalars of one answer as a struct; the text is parsed once."""
+    whole = F.struct(raw.alias("raw"), parse_object(raw).alias("obj"))
+    return bind(whole, lambda x: _with_flag(x["raw"], x["obj"]))
+
+
+def _with_flag(raw: Column, obj: Column) -> Column:
+    parsed = F.coalesce(_kind(obj) != "OBJECT<>", F.lit(False))
+    flag = _field(obj, "is_relevant")
+    is_text = F.try_variant_get(flag, "$", "string")
     status = (
-        F.when(raw.isNull(), F.lit(ERROR))
-        .when(obj.isNull() | empty, F.lit(PARSE_ERROR))
-        .otherwise(F.lit(SUCCESS))
+        F.when(raw.isNull(), F.lit(ERROR)).when(~parsed, F.lit(PARSE_ERROR)).otherwise(F.lit(SUCCESS))
+    )
+    reason = (
+        F.when(raw.isNull(), F.lit(CONNECTION_FAILED))
+        .when(~parsed, F.lit(PARSE_FAILED))
+        .otherwise(_as_text(_field(obj, "reasoning"), ""))
+    )
+    return F.struct(
+        status.alias("status"),
+        F.when(parsed, _as_text(flag, "None")).otherwise(F.lit("None")).alias("is_relevant"),
+        reason.alias("reason"),
+        (parsed & _truthy(flag)).alias("truthy"),
+        F.coalesce((_kind(flag) == "BOOLEAN") & (is_text == "true"), F.lit(False)).alias("is_true"),
+        F.coalesce((_kind(flag) == "STRING") & (is_text == "ERROR"), F.lit(False)).alias("says_error"),
+        F.coalesce(F.try_variant_get(obj, "$.confidence_score", "double"), F.lit(0.0)).alias("confidence"),
+        _plain_text(_field(obj, "title_cn")).alias("title_cn"),
+        _plain_text(_field(obj, "summary")).alias("summary"),
+        _plain_text(_field(obj, "reasoning")).alias("reasoning"),
     )
-    flag = _field(obj, "is_relevant")
-    parsed = obj.isNotNull() & ~empty
-    return {
-        "status": status,
-        "is_relevant": F.when(parsed, _as_text(flag, "None")).otherwise(F.lit("None")),
-        "reason": F.when(raw.isNull(), F.lit(CONNECTION_FAILED))
-        .when(~F.coalesce(parsed, F.lit(False)), F.lit(PARSE_FAILED))
-        .otherwise(_as_text(_field(obj, "reasoning"), "")),
-        "truthy": F.coalesce(parsed, F.lit(False)) & _truthy(flag),
-        "is_true": F.coalesce(
-            (_kind(flag) == "BOOLEAN") & (F.try_variant_get(flag, "$", "string") == "true"),
-            F.lit(False),
-        ),
-        "says_error": F.coalesce(
-            (_kind(flag) == "STRING") & (F.try_variant_get(flag, "$", "string") == "ERROR"),
-            F.lit(False),
-        ),
-        "confidence": F.coalesce(
-            F.try_variant_get(obj, "$.confidence_score", "double"), F.lit(0.0)
-        ),
-        "title_cn": _plain_text(_field(obj, "title_cn")),
-        "summary": _plain_text(_field(obj, "summary")),
-        "reasoning": _plain_text(_field(obj, "reasoning")),
-    }
-
-
-def answer(raw: Column, obj: Column) -> Column:
-    return F.struct(*[c.alias(n) for n, c in answer_fields(raw, obj).items()])
 
 
 def merged_label(m1: str = "m1", m2: str = "m2") -> Column:

@@ -22,15 +22,7 @@ def pair_answers(responses: DataFrame, key: str = "article_id") -> DataFrame:
 
 def answers(df: DataFrame, m1_raw: str = "m1_raw", m2_raw: str = "m2_raw") -> DataFrame:
     """Add the structs ``m1`` and ``m2`` with the scalars of each answer."""
-    parsed = df.withColumns(
-        {"_m1": V.parse_object(F.col(m1_raw)), "_m2": V.parse_object(F.col(m2_raw))}
-    )
-    return parsed.withColumns(
-        {
-            "m1": V.answer(F.col(m1_raw), F.col("_m1")),
-            "m2": V.answer(F.col(m2_raw), F.col("_m2")),
-        }
-    ).drop("_m1", "_m2")
+    return df.withColumns({"m1": V.answer(F.col(m1_raw)), "m2": V.answer(F.col(m2_raw))})
 
 
 def merge(df: DataFrame) -> DataFrame:
