@@ -39,7 +39,7 @@ def trim_blocks(blocks: Column, head: int = 2, tail: int = 3, over: int = 5) ->
 
 def join_blocks(blocks: Column, separator: Column | str) -> Column:
     sep = F.lit(separator) if isinstance(separator, str) else separator
-    return F.array_join(F.transform(blocks, lambda b: b["text"]), sep)
+    return F.call_function("array_join", F.transform(blocks, lambda b: b["text"]), sep)
 
 
 def in_container(blocks: Column, container: Column | int) -> Column:
@@ -94,7 +94,7 @@ def page_content(pages: DataFrame) -> DataFrame:
     def wanted(b: Column) -> Column:
         least = F.when(b["container"] >= 0, F.col("min_length")).otherwise(F.col("loose_min_length"))
         free = F.col("free_li") & (b["tag"] == "li") & (b["text"] != "")
-        noise = (F.col("drop_pattern") != "") & b["text"].rlike(F.col("drop_pattern"))
+        noise = (F.col("drop_pattern") != "") & F.rlike(b["text"], F.col("drop_pattern"))
         return ((F.length(b["text"]) >= least) | free) & ~noise
 
     kept = F.filter(F.col("blocks"), wanted)
