@@ -99,6 +99,29 @@ _MONTH = r"(0[1-9]|1[0-2])"
 _YEAR = r"(202[2-9])"
 _SEP = r"[-/.]"
 
+_BEFORE, _AFTER = 32, 12  # more than any accepted date takes on either side of its year
+
+
+def _around_years(text: Column) -> Column:
+    """What stands around each accepted year, one piece after the other.
+
+    Long texts are searched once for the year; the date patterns then run over a few
+    characters. ``_`` marks a cut, so that a cut is never taken for a word boundary.
+    """
+    parts = F.split(F.concat(F.lit(" "), text), "(?=202[2-9])")
+    return bind(parts, _pieces)
+
+
+def _pieces(parts: Column) -> Column:
+    def piece(after: Column, i: Column) -> Column:
+        cut = (F.length(after) > _AFTER) | (i < F.size(parts) - 2)
+        return F.concat(
+            F.lit("_"), F.right(F.get(parts, i), F.lit(_BEFORE)), F.left(after, F.lit(_AFTER)),
+            F.when(cut, F.lit("_")).otherwise(F.lit("")),
+        )
+
+    return F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece), "")
+
 
 def text_date(text: Column) -> Column:
     """A date mentioned in free text as ``yyyy-MM-dd``, or empty.
@@ -106,12 +129,17 @@ def text_date(text: Column) -> Column:
     Numeric year-first dates win over day-first ones, those over month names.
     The numeric forms are taken as written, without a calendar check.
     """
-    s = text_of(text)
+    found = bind(bind(text_of(text), _around_years), _text_date)
+    # Most texts name no such year: one cheap search decides before the others run.
+    return F.when(text_of(text).rlike("202[2-9]"), found).otherwise(F.lit(""))
+
+
+def _text_date(s: Column) -> Column:
     ymd = f"{_LEFT}{_YEAR}{_SEP}{_MONTH}{_SEP}{_DAY}{_RIGHT}"
     dmy = f"{_LEFT}{_DAY}{_SEP}{_MONTH}{_SEP}{_YEAR}{_RIGHT}"
-    day = r"(\d{1,2})(?:st|nd|rd|th)?"
-    day_first = rf"(?i){_LEFT}{day}\s+(?:of\s+)?{_ANY}\.?,?\s+{_YEAR}{_RIGHT}"
-    month_first = rf"(?i){_LEFT}{_ANY}\.?\s+{day},?\s+{_YEAR}{_RIGHT}"
+    day, gap = r"(\d{1,2})(?:st|nd|rd|th)?", r"\s{1,3}"
+    day_first = rf"(?i){_LEFT}{day}{gap}(?:of{gap})?{_ANY}\.?,?{gap}{_YEAR}{_RIGHT}"
+    month_first = rf"(?i){_LEFT}{_ANY}\.?{gap}{day},?{gap}{_YEAR}{_RIGHT}"
     joined = [
         F.concat_ws("-", *[F.regexp_extract(s, p, g) for g in groups])
         for p, groups in ((ymd, (1, 2, 3)), (dmy, (3, 2, 1)))
@@ -119,11 +147,9 @@ def text_date(text: Column) -> Column:
     named = F.date_format(
         F.coalesce(shaped(s, day_first, "dMy"), shaped(s, month_first, "Mdy")), "yyyy-MM-dd"
     )
-    found = (
-        F.when(s.rlike(ymd), joined[0]).when(s.rlike(dmy), joined[1]).otherwise(named)
+    return F.coalesce(
+        F.when(s.rlike(ymd), joined[0]).when(s.rlike(dmy), joined[1]).otherwise(named), F.lit("")
     )
-    # Most texts name no such year: one cheap search decides before the others run.
-    return F.when(s.rlike("202[2-9]"), F.coalesce(found, F.lit(""))).otherwise(F.lit(""))
 
 
 def year_signal(text: Column, current_year: int) -> Column:

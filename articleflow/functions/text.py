@@ -26,6 +26,11 @@ WS_CHARS = "".join(
     for c in range(lo, hi + 1)
 )
 
+# The same sets for Java's regular expressions. A range in front of ``&&`` rejects
+# ordinary letters with one test; the bare unions are several times slower.
+_ODD_SPACE = r"[\x09-\x1F\x85-\x{3000}&&[" + WS + ZERO_WIDTH + "]]"
+_ZERO_WIDTH_RUN = r"[\x{200B}-\x{2029}&&[" + ZERO_WIDTH + "]]+"
+
 # Word characters for boundary tests, independent of what a JDK means by \b.
 WORD = r"\p{L}\p{N}_"
 
@@ -50,14 +55,14 @@ def strip(col: Column) -> Column:
 
 def clean_one_line(col: Column) -> Column:
     """Null becomes empty; every run of white space or zero-width marks one space."""
-    spaced = F.regexp_replace(text_of(col), f"[{WS}{ZERO_WIDTH}]+", " ")
-    return F.btrim(spaced)
+    spaced = F.regexp_replace(text_of(col), _ODD_SPACE, " ")
+    return F.btrim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def clean_multi_line(col: Column) -> Column:
     """Keep line breaks, unify them, and shrink runs of blank lines to one."""
-    s = F.regexp_replace(text_of(col), f"[{ZERO_WIDTH}]+", " ")
-    s = F.regexp_replace(s, r"\r\n?", "\n")
+    s = F.regexp_replace(text_of(col), _ZERO_WIDTH_RUN, " ")
+    s = F.replace(F.replace(s, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     s = F.regexp_replace(s, f"\\n[{WS}]*\\n", "\n\n")
     return strip(s)
 

@@ -17,10 +17,24 @@ CONNECTION_FAILED, PARSE_FAILED = "Connection Failed", "Parse Error"
 BOTH_FAILED = "双路API调用均失败 (Connection Error)"
 
 
+_END = "end-of-answer"
+
+
 def parse_object(raw: Column) -> Column:
-    """The JSON object between the first ``{`` and the last ``}``, else null."""
-    value = F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))
-    return F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
+    """The JSON object between the first ``{`` and the last ``}``, else null.
+
+    The parser stops after one value, so the object is read as the first element of
+    a list whose second must be our end mark: anything left over is an error.
+    """
+    text = F.nullif(F.regexp_extract(raw, r"(?s)\{.*\}", 0), F.lit(""))
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return bind(framed, _sole_object)
+
+
+def _sole_object(framed: Column) -> Column:
+    value = F.try_variant_get(framed, "$[0]", "variant")
+    whole = F.try_variant_get(framed, "$[1]", "string") == _END
+    return F.when(whole & F.schema_of_variant(value).startswith("OBJECT"), value)
 
 
 def _field(obj: Column, name: str) -> Column:
@@ -136,8 +150,9 @@ KEYWORDS = [
 
 def matched_terms(title: Column, abstract: Column, content: Column, terms: list[str]) -> Column:
     """How many terms occur in the lower-cased text of an article."""
-    text = F.lower(F.concat_ws(" ", text_of(title), text_of(abstract), text_of(content)))
-    return F.size(F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(text, t)))
+    whole = F.lower(F.concat_ws(" ", text_of(title), text_of(abstract), text_of(content)))
+    listed = F.array(*[F.lit(t) for t in terms])
+    return bind(whole, lambda text: F.size(F.filter(listed, lambda t: F.contains(text, t))))
 
 
 PROMPT_HEAD = (

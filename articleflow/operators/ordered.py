@@ -1,6 +1,6 @@
 """Ordered scans over listings, without putting one source into one task.
 
-A running value over ``(keys, pos)`` is computed in two levels. Rows are cut
+A running value over ``(keys, pos)`` is computed in levels. Rows are cut
 into chunks of ``2**CHUNK_BITS`` consecutive positions; since ``pos`` is unique
 within its keys, a chunk is bounded however hot the key is. Each chunk is scanned
 by a window of its own, chunk totals (one small row each) are scanned the same
@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK_BITS = 12
-LEVELS = 2
+LEVELS = 1  # chunks of chunks: one row per 2**24 positions remains for the last scan
 SALTS = 16
 
 

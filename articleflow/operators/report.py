@@ -1,4 +1,8 @@
-"""Digest lines, status table, counters and alerts."""
+"""Digest lines, status table, counters and alerts.
+
+Numbering reads its input twice, so verdicts should come from a stored table, as
+they do after a run; see ``settle``.
+"""
 
 from __future__ import annotations
 

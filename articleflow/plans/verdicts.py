@@ -15,6 +15,7 @@ from articleflow.operators.scoring import keyword_scorer, score
 from articleflow.plans import fixtures as X
 from articleflow.plans.incremental import RECENT_NEW
 from articleflow.plans.registry import query
+from articleflow.session import settle
 
 
 def judged(spark, sf_dir):
@@ -273,7 +274,8 @@ def run_counters(spark, sf_dir):
     ),
 )
 def status_table(spark, sf_dir):
-    return R.status_table(judged(spark, sf_dir), "pos")
+    kept = judged(spark, sf_dir).select("pos", "title", "url", "label", "m1_status", "m2_status")
+    return R.status_table(settle(kept, "status"), "pos")
 
 
 DIGIT = "substring('一二三四五六七八九', CAST({n} AS INT), 1)"
@@ -325,7 +327,8 @@ EMPTY_DAY = """
 
 @query("digest_lines", X.with_sql(X.VERDICTS + "," + digest_sql("verdicts"), EMPTY_DAY))
 def digest_lines(spark, sf_dir):
-    return R.digest_lines(judged(spark, sf_dir), "pos")
+    kept = judged(spark, sf_dir).select("pos", "label", "title_out", "summary", "entity", "url")
+    return R.digest_lines(settle(kept, "digest"), "pos")
 
 
 DAILY = (
@@ -341,4 +344,5 @@ def daily_digest(spark, sf_dir):
     recent = lookback(X.articles(spark, sf_dir), X.NOW)
     fresh = new_rows(recent, X.history(spark, sf_dir), "pos")
     verdicts = J.judged(fresh, X.responses(spark, sf_dir), "pos", "article_id")
-    return R.digest_lines(verdicts, "pos")
+    kept = verdicts.select("pos", "label", "title_out", "summary", "entity", "url")
+    return R.digest_lines(settle(kept, "daily-digest"), "pos")

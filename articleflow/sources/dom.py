@@ -8,9 +8,9 @@ descendant and ``>``, and comma lists.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset(
@@ -21,17 +21,38 @@ BLOCK = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select body html".split())
+P_SCOPE = SCOPE | frozenset("td th li div article section".split())
 SILENT = frozenset(("script", "style", "template"))
 
 
+# Tags, comments and declarations; attribute values may hold ``>``.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+)
+_ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Elements whose content is text only, up to their end tag.
+_RAW = ("script", "style", "textarea", "title")
+_RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in _RAW}
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "items", "parent")
+    __slots__ = ("tag", "raw", "items", "parent", "_attrs")
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
+    def __init__(self, tag: str, raw: str, parent: Node | None):
+        self.tag, self.raw, self.parent = tag, raw, parent
         self.items: list[Node | str] = []
-
-    def descend(self, skip: frozenset | set = frozenset()) -> Iterator[Node]:
+        self._attrs: dict[str, str] | None = None
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        """Attributes, read when first asked for: most elements are never asked."""
+        if self._attrs is None:
+            self._attrs = {
+                m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(self.raw)
+            }
+        return self._attrs
+
+    def descend(self, skip: Set[Node] = frozenset()) -> Iterator[Node]:
         """Elements below this one in document order, without ``skip`` and their content."""
         stack = [iter(self.items)]
         while stack:
@@ -43,13 +64,14 @@ class Node:
             else:
                 stack.pop()
 
-    def text(self, sep: str = " ", skip: frozenset | set = frozenset()) -> str:
+    def text(self, sep: str = " ", skip: Set[Node] = frozenset()) -> str:
+        """Trimmed text pieces below this element, joined by ``sep``."""
         out: list[str] = []
         stack = [iter(self.items)]
         while stack:
             for item in stack[-1]:
                 if isinstance(item, str):
-                    piece = item.strip()
+                    piece = (unescape(item) if "&" in item else item).strip()
                     if piece:
                         out.append(piece)
                 elif item not in skip and item.tag not in SILENT:
@@ -60,51 +82,51 @@ class Node:
         return sep.join(out)
 
 
-class _Builder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
+def _inside(at: Node, tags: Set[str], stop: Set[str]) -> Node | None:
+    """The nearest open element of ``tags``, not looking beyond ``stop``."""
+    node = at
+    while node.parent is not None and node.tag not in stop:
+        if node.tag in tags:
+            return node
+        node = node.parent
+    return None
 
-    def _end_open(self, tags: set[str], stop: frozenset[str]) -> None:
-        node = self.at
-        while node.parent is not None and node.tag not in stop:
-            if node.tag in tags:
-                self.at = node.parent
-                return
-            node = node.parent
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+def parse(html: str) -> Node:
+    root = at = Node("", "", None)
+    end = 0
+    while True:
+        mark = _MARKUP.search(html, end)
+        if mark is None:
+            if end < len(html):
+                at.items.append(html[end:])
+            return root
+        if mark.start() > end:
+            at.items.append(html[end : mark.start()])
+        end = mark.end()
+        if mark[2] is None:
+            continue
+        tag = mark[2].lower()
+        if mark[1]:
+            open_one = _inside(at, {tag}, frozenset())
+            if open_one is not None:
+                at = open_one.parent
+            continue
         if tag in BLOCK:
-            self._end_open({"p"}, SCOPE | {"td", "th", "li", "div", "article", "section"})
+            open_p = _inside(at, {"p"}, P_SCOPE)
+            at = open_p.parent if open_p is not None else at
         if tag in ENDS:
-            self._end_open(ENDS[tag], SCOPE)
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.items.append(node)
-        if tag not in VOID:
-            self.at = node
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.at = self.at.parent
-
-    def handle_endtag(self, tag: str) -> None:
-        node = self.at
-        while node.parent is not None:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-            node = node.parent
-
-    def handle_data(self, data: str) -> None:
-        self.at.items.append(data)
-
-
-def parse(html: str) -> Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
+            ended = _inside(at, ENDS[tag], SCOPE)
+            at = ended.parent if ended is not None else at
+        node = Node(tag, mark[3], at)
+        at.items.append(node)
+        if tag in _RAW:
+            stop = _RAW_END[tag].search(html, end)
+            close = stop.start() if stop else len(html)
+            node.items.append(html[end:close])
+            end, at = close, node
+        elif tag not in VOID and not mark[3].endswith("/"):
+            at = node
 
 
 _PART = re.compile(
@@ -114,9 +136,13 @@ _PART = re.compile(
 
 
 @lru_cache(maxsize=512)
-def _compile(selector: str) -> tuple:
-    """Alternatives; each a tuple of (child_of, tests), last compound first."""
-    out = []
+def _compile(selector: str) -> tuple[dict, tuple]:
+    """Alternatives by the tag they ask for, and those for any tag.
+
+    An alternative is a tuple of (child_of, tests), last compound first.
+    """
+    by_tag: dict[str, tuple] = {}
+    any_tag: tuple = ()
     for alternative in selector.split(","):
         steps, child = [], False
         for word in alternative.split():
@@ -126,30 +152,39 @@ def _compile(selector: str) -> tuple:
             tests = tuple((m.lastgroup, m.groupdict()) for m in _PART.finditer(word))
             steps.append((child, tests))
             child = False
-        if steps:
-            out.append(tuple(reversed(steps)))
-    return tuple(out)
+        if not steps:
+            continue
+        tag = next((g["tag"] for kind, g in steps[-1][1] if kind == "tag"), None)
+        if tag is None:
+            any_tag += (tuple(reversed(steps)),)
+        else:
+            by_tag[tag] = by_tag.get(tag, ()) + (tuple(reversed(steps)),)
+    return by_tag, any_tag
 
 
 def _is(node: Node, tests: tuple) -> bool:
-    classes = node.attrs.get("class", "").split()
     for kind, g in tests:
-        if kind == "tag" and node.tag != g["tag"]:
-            return False
-        if kind == "cls" and g["cls"] not in classes:
-            return False
-        if kind == "id" and node.attrs.get("id") != g["id"]:
-            return False
-        if kind == "no" and g["no"] in classes:
+        if kind == "tag":
+            if node.tag != g["tag"]:
+                return False
+        elif kind == "fc":
+            if node is not next(i for i in node.parent.items if isinstance(i, Node)):
+                return False
+        elif kind == "no":
+            if g["no"] in node.attrs.get("class", "").split():
+                return False
+        elif not node.raw:
             return False
-        if kind in ("attr", "val"):
+        elif kind == "cls":
+            if g["cls"] not in node.attrs.get("class", "").split():
+                return False
+        elif kind == "id":
+            if node.attrs.get("id") != g["id"]:
+                return False
+        else:
             value = node.attrs.get(g["attr"])
             if value is None or (g["val"] and g["val"].lower() not in value.lower()):
                 return False
-        if kind == "fc":
-            first = next((i for i in node.parent.items if isinstance(i, Node)), None)
-            if first is not node:
-                return False
     return True
 
 
@@ -169,10 +204,17 @@ def _matches(node: Node, steps: tuple) -> bool:
     return False
 
 
-def select(root: Node, selector: str, skip: frozenset | set = frozenset()) -> Iterator[Node]:
-    alternatives = _compile(selector)
-    return (n for n in root.descend(skip) if any(_matches(n, a) for a in alternatives))
+def select(root: Node, selector: str, skip: Set[Node] = frozenset()) -> Iterator[Node]:
+    by_tag, any_tag = _compile(selector)
+    for node in root.descend(skip):
+        for steps in by_tag.get(node.tag, ()):
+            if _matches(node, steps):
+                yield node
+                break
+        else:
+            if any_tag and any(_matches(node, steps) for steps in any_tag):
+                yield node
 
 
-def first(root: Node, selector: str, skip: frozenset | set = frozenset()) -> Node | None:
+def first(root: Node, selector: str, skip: Set[Node] = frozenset()) -> Node | None:
     return next(select(root, selector, skip), None) if selector else None
