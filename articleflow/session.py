@@ -28,15 +28,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and benchmarks; a cluster brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("articleflow")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .getOrCreate()
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="articleflow-"))
     )
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 

@@ -54,7 +54,11 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def validate_articles(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Shape check of CSV files: rows, malformed rows, and an example of one."""
+    """Shape check of CSV files: rows, malformed rows, an example, and empty values.
+
+    Counting the empty values also makes the reader parse every column, without which
+    it would not notice short and long records.
+    """
     names = columns or ARTICLE_FIELDS
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
     rows = (
@@ -62,8 +66,10 @@ def validate_articles(spark: SparkSession, path: str, columns: list[str] | None
         .option("columnNameOfCorruptRecord", BAD).option("enforceSchema", True).csv(path)
     )
     bad = F.col(BAD)
+    empty = sum((F.when(text_of(F.col(n)) == "", 1).otherwise(0) for n in names), F.lit(0))
     return rows.agg(
-        F.count(F.lit(1)).alias("rows"), F.count(bad).alias("malformed"), F.min(bad).alias("example")
+        F.count(F.lit(1)).alias("rows"), F.count(bad).alias("malformed"), F.min(bad).alias("example"),
+        F.sum(F.when(bad.isNull(), empty)).alias("empty_values"),
     )
 
 
