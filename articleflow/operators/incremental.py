@@ -53,46 +53,55 @@ def first_link_per_source(df: DataFrame, source: str, link: str, pos: str) -> Da
     return df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n")
 
 
-def known_keys(history: DataFrame, column: str) -> DataFrame:
-    """Trimmed, non-empty keys of the history, one column read."""
+def known_keys(history: DataFrame, column: str, stored: bool = False) -> DataFrame:
+    """Trimmed, non-empty keys of the history, one column read.
+
+    ``stored`` says that our own sinks wrote the history: its keys are clean and are
+    compared as they are, which lets a table bucketed by the key keep its layout.
+    """
     name = column if column in history.columns else "link"
     if name not in history.columns:
         return history.sparkSession.createDataFrame([], f"{_KEY} string")
-    return history.select(strip(text_of(F.col(name))).alias(_KEY)).filter(F.col(_KEY) != "")
+    key = F.col(name) if stored else strip(text_of(F.col(name)))
+    return history.select(key.alias(_KEY)).filter(F.col(_KEY) != "")
 
 
-def _unknown(rows: DataFrame, keyed: DataFrame, history: DataFrame, column: str) -> DataFrame:
-    # The history is reduced to keys of this batch first. A batch below the broadcast
-    # threshold never shuffles the history; a larger one shuffles its key column only,
-    # and the reduced keys stay partitioned for the anti-join. ``distinct`` keeps a
-    # key that fills a third of either side from meeting itself.
+def _known(keyed: DataFrame, history: DataFrame, column: str, stored: bool = False) -> DataFrame:
+    """The batch's keys that the history has.
+
+    The history is reduced to keys of this batch first. A batch below the broadcast
+    threshold never shuffles the history; a larger one shuffles its key column only,
+    and the reduced keys stay partitioned for the join that follows. ``distinct``
+    keeps a key that fills a third of either side from meeting itself.
+    """
     wanted = keyed.select(_KEY).distinct()
-    known = known_keys(history, column).join(wanted, _KEY, "left_semi").distinct()
-    return rows.join(known, _KEY, "left_anti")
+    return known_keys(history, column, stored).join(wanted, _KEY, "left_semi").distinct()
 
 
 def not_in_history(df: DataFrame, history: DataFrame, pos: str, by: str = "uid") -> DataFrame:
     """Drop rows whose key is in the history; rows with an empty key always stay."""
     keyed = with_key(df, F.col(by), pos)
-    return _unknown(keyed, keyed, history, by).drop(_KEY)
+    return keyed.join(_known(keyed, history, by), _KEY, "left_anti").drop(_KEY)
 
 
 def in_history(df: DataFrame, history: DataFrame, pos: str, by: str = "url") -> DataFrame:
     keyed = with_key(df, F.col(by), pos)
-    wanted = keyed.select(_KEY).distinct()
-    known = known_keys(history, by).join(wanted, _KEY, "left_semi").distinct()
-    return keyed.join(known, _KEY, "left_semi").drop(_KEY)
+    return keyed.join(_known(keyed, history, by), _KEY, "left_semi").drop(_KEY)
 
 
 def mark_known(df: DataFrame, history: DataFrame, by: str, flag: str) -> DataFrame:
     """Add whether the row's key is in the history."""
-    wanted = df.select(F.col(by).alias(_KEY)).distinct()
-    known = known_keys(history, by).join(wanted, _KEY, "left_semi").distinct()
-    known = known.withColumnRenamed(_KEY, by).withColumn(flag, F.lit(True))
-    return df.join(known, by, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    keyed = df.withColumn(_KEY, F.col(by))
+    known = _known(keyed, history, by).withColumn(flag, F.lit(True))
+    return (
+        keyed.join(known, _KEY, "left").drop(_KEY)
+        .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    )
 
 
-def new_rows(df: DataFrame, history: DataFrame, pos: str, dedupe_by: str = "uid") -> DataFrame:
+def new_rows(
+    df: DataFrame, history: DataFrame, pos: str, dedupe_by: str = "uid", stored: bool = False
+) -> DataFrame:
     """Rows to load: first of each key in the batch, and not yet in the history.
 
     Both steps share one shuffle on the key. Any other ``dedupe_by`` keeps all rows.
@@ -100,7 +109,8 @@ def new_rows(df: DataFrame, history: DataFrame, pos: str, dedupe_by: str = "uid"
     if dedupe_by not in ("uid", "url"):
         return df
     keyed = with_key(df, F.col(dedupe_by), pos)
-    return _unknown(_first_per_key(keyed, pos), keyed, history, dedupe_by).drop(_KEY)
+    known = _known(keyed, history, dedupe_by, stored)
+    return _first_per_key(keyed, pos).join(known, _KEY, "left_anti").drop(_KEY)
 
 
 def union_sources(frames: list[tuple[str, DataFrame]], pos: str = "pos") -> DataFrame:

@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BITS = 12
 LEVELS = 1  # chunks of chunks: one row per 2**24 positions remains for the last scan
-SALTS = 16
+SALTS = 64
 
 
 def _chunk(col: Column) -> Column:
@@ -70,6 +71,23 @@ def _carry_in(parts: DataFrame, keys: list[str], measures: list[_Measure], level
     )
 
 
+def _chunk_totals(rows: DataFrame, keys: list[str], measures: list[_Measure]) -> DataFrame:
+    """Totals per chunk. Numbers go through a hash aggregate on the map side; other
+    values would be sorted for it, so only the rows that have one are looked at."""
+    plain = [m for m in measures if isinstance(rows.schema[m.name].dataType, T.NumericType)]
+    chunk = [*keys, "_c"]
+    totals = rows.groupBy(*chunk).agg(
+        F.count(F.lit(1)).alias("_rows"), *[m.whole(F.col(m.name)).alias(m.name) for m in plain]
+    )
+    for m in measures:
+        if m not in plain:
+            some = rows.filter(F.col(m.name).isNotNull()).groupBy(*chunk).agg(
+                m.whole(F.col(m.name)).alias(m.name)
+            )
+            totals = totals.join(some, chunk, "left")
+    return totals.drop("_rows")
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -86,7 +104,7 @@ def running(
     measures = [_Measure(n, c, "sum") for n, c in (sums or {}).items()]
     measures += [_Measure(n, c, "max") for n, c in (maxes or {}).items()]
     rows = df.withColumns({"_c": _chunk(F.col(pos)), **{m.name: m.value for m in measures}})
-    parts = rows.groupBy(*keys, "_c").agg(*[m.whole(F.col(m.name)).alias(m.name) for m in measures])
+    parts = _chunk_totals(rows, keys, measures)
     carried = _carry_in(parts, keys, measures, LEVELS)
     last = 0 if inclusive else -1
     frame = W.partitionBy(*keys, "_c").orderBy(pos).rowsBetween(W.unboundedPreceding, last)
@@ -119,9 +137,9 @@ def take_while(df: DataFrame, keys: list[str], pos: str, recent: Column) -> Data
 
     Only the recent rows, a small part of a history, meet the cut positions.
     """
-    is_recent = F.coalesce(recent, F.lit(False))
-    cuts = df.filter(~is_recent).groupBy(*keys).agg(F.min(pos).alias("_cut"))
-    return _before_cut(df.filter(is_recent), cuts, keys, pos)
+    stops = ~F.coalesce(recent, F.lit(False))
+    cuts = df.filter(stops).groupBy(*keys).agg(F.min(pos).alias("_cut"))
+    return _before_cut(df.filter(recent), cuts, keys, pos)
 
 
 def until_seen_streak(
@@ -136,16 +154,33 @@ def until_seen_streak(
     if old is not None:
         df = take_while(df, keys, pos, ~F.coalesce(old, F.lit(False)))
     is_seen = F.coalesce(seen, F.lit(False))
-    marks = df.select(*keys, pos, is_seen.alias("_seen"))
-    ranked = running(marks, keys, pos, sums={"_rank": F.lit(1)})
-    runs = running(ranked, keys, pos, maxes={"_reset": F.when(~F.col("_seen"), F.col("_rank"))})
-    streak = F.col("_rank") - F.coalesce(F.col("_reset"), F.lit(0))
-    cuts = (
-        runs.filter(F.col("_seen") & (streak >= limit)).groupBy(*keys).agg(F.min(pos).alias("_cut"))
-    )
+    streaks = _streaks(df.select(*keys, pos, is_seen.alias("_seen")), keys, pos)
+    cuts = streaks.filter(F.col("_streak") >= limit).groupBy(*keys).agg(F.min(pos).alias("_cut"))
     return _before_cut(df.filter(~is_seen), cuts, keys, pos)
 
 
+def _streaks(marks: DataFrame, keys: list[str], pos: str) -> DataFrame:
+    """Length of the run of seen rows that ends at each row.
+
+    A row's run is its rank less the rank of the last unseen row. Both are taken
+    within the chunk; what comes before is known from one row per chunk.
+    """
+    chunk = [*keys, "_chunk"]
+    frame = W.partitionBy(*chunk).orderBy(pos)
+    local = marks.withColumn("_chunk", _chunk(F.col(pos))).withColumn("_rank", F.row_number().over(frame))
+    reset = F.when(~F.col("_seen"), F.col("_rank"))
+    sizes = local.groupBy(*chunk).agg(
+        F.max("_rank").cast("bigint").alias("_size"), F.max(reset).alias("_last")
+    )
+    placed = running(sizes, keys, "_chunk", sums={"_base": F.col("_size")}, inclusive=False)
+    carried = running(
+        placed, keys, "_chunk", maxes={"_before": F.col("_base") + F.col("_last")}, inclusive=False
+    ).select(*chunk, "_base", "_before")
+    rows = local.withColumn("_own", F.max(reset).over(frame)).join(carried, chunk, "left")
+    last_reset = F.greatest(F.col("_base") + F.col("_own"), F.col("_before"), F.lit(0))
+    return rows.withColumn("_streak", F.col("_base") + F.col("_rank") - last_reset)
+
+
 def first_n(df: DataFrame, keys: list[str], pos: str, n: int) -> DataFrame:
     """The first ``n`` rows per key.
 

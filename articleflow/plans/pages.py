@@ -13,15 +13,16 @@ from articleflow.plans.dates import PLAIN
 from articleflow.plans.incremental import one_line
 from articleflow.plans.registry import query
 from articleflow.sources import feeds, pages
-from articleflow.sources.rules import GENERIC_RULE, rules_table
+from articleflow.sources.rules import GENERIC_RULE
 
 ARTICLE_RULE = {**GENERIC_RULE, "source": "pages"}
 LINKS = r"<a\s+[^>]*?href=[\"']([^\"']*)[\"']"
 
 
 def ruled_pages(spark, sf_dir, **changes):
-    p = X.table(spark, sf_dir, "pages").withColumn("source", F.lit("pages"))
-    return pages.with_rules(p, rules_table(spark, [{**ARTICLE_RULE, **changes}]))
+    landed = F.when(F.col("url").startswith("http"), F.lit("pages"))
+    p = X.table(spark, sf_dir, "pages").withColumn("source", landed)
+    return pages.with_rules(p, [{**ARTICLE_RULE, **changes}])
 
 
 @query(

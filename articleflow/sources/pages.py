@@ -16,6 +16,7 @@ from articleflow.functions.dates import site_date
 from articleflow.functions.text import clean_one_line, prefixed_url
 from articleflow.schema import BLOCKS
 from articleflow.sources import dom
+from articleflow.sources.rules import rules_table
 
 BLOCK_ROW = pa.struct(
     [("container", pa.int32()), ("pos", pa.int32()), ("tag", pa.string()), ("text", pa.string())]
@@ -133,10 +134,13 @@ def _map_pages(
     return pages.mapInArrow(run, schema)
 
 
-def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Attach each page's rule. The rule table is a local relation, so Spark knows its
-    size and broadcasts it."""
-    return pages.join(rules, "source")
+def with_rules(pages: DataFrame, rules: list[dict] | None = None) -> DataFrame:
+    """Attach each page's rule; pages of a source without one are left out.
+
+    Rules are configuration, counted before they are sent to every task, so that a
+    source with most of the pages is not gathered for this join.
+    """
+    return pages.join(F.broadcast(rules_table(pages.sparkSession, rules)), "source")
 
 
 def extract_blocks(pages: DataFrame) -> DataFrame:

@@ -168,8 +168,13 @@ GENERIC_RULE = {
 }
 
 
+MAX_RULES = 10_000
+
+
 def rules_table(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
-    """Rules as a DataFrame; its size is that of the configuration, known on the driver."""
+    """Rules as a DataFrame, refused beyond ``MAX_RULES``: they are sent to every task."""
+    if rules is not None and len(rules) > MAX_RULES:
+        raise ValueError(f"{len(rules)} rules; join a table of that size instead")
     rows = [{**_DEFAULTS, **r} for r in (SITE_RULES if rules is None else rules)]
     names = [part.split()[0] for part in RULE_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], RULE_SCHEMA)

@@ -37,9 +37,12 @@ def write_load(rows: DataFrame, path: str, load_id: int) -> None:
     )
 
 
-def save_bucketed_history(history: DataFrame, table: str, buckets: int) -> None:
+def save_bucketed_history(history: DataFrame, table: str, path: str, buckets: int) -> None:
     """History bucketed by uid: the anti-join of a load then reads it without a shuffle."""
-    history.write.mode("overwrite").bucketBy(buckets, "uid").sortBy("uid").saveAsTable(table)
+    (
+        history.write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, "uid").sortBy("uid").saveAsTable(table)
+    )
 
 
 def write_batch(rows: DataFrame, path: str, run_date: str) -> None:

@@ -1,6 +1,7 @@
 from datetime import date
 
 from pyspark.sql import functions as F
+import pytest
 
 from articleflow.operators import blocks as B
 from articleflow.operators.filters import apply_undated_policy
@@ -13,13 +14,13 @@ NOW = date(2024, 1, 31)
 
 def contents(spark, *rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id bigint, source string, url string, html string")
-    done = B.page_content(pages.extract_blocks(pages.with_rules(df, rules_table(spark))))
+    done = B.page_content(pages.extract_blocks(pages.with_rules(df)))
     return {r["page_id"]: r["content"] for r in done.select("page_id", "content").collect()}
 
 
 def items(spark, source, html):
     df = spark.createDataFrame([(1, source, html)], "page_id bigint, source string, html string")
-    found = pages.resolve_items(pages.extract_items(pages.with_rules(df, rules_table(spark))), F.lit(NOW))
+    found = pages.resolve_items(pages.extract_items(pages.with_rules(df)), F.lit(NOW))
     return found.orderBy("pos")
 
 
@@ -27,6 +28,11 @@ def test_every_job_has_a_rule():
     assert sorted(r["source"] for r in SITE_RULES) == sorted(JOB_ORDER)
 
 
+def test_too_many_rules_are_refused(spark):
+    with pytest.raises(ValueError):
+        rules_table(spark, [SITE_RULES[0]] * 10_001)
+
+
 def test_open_paragraphs_end_where_the_next_starts():
     root = dom.parse("<article><p><b>one<br><p>two &amp; three<ul><li>a<li>b</ul></p>tail</article>")
     assert [n.text() for n in dom.select(root, "p")] == ["one", "two & three"]
