@@ -132,13 +132,18 @@ def _before_cut(df: DataFrame, cuts: DataFrame, keys: list[str], pos: str) -> Da
     return joined.filter(F.col("_cut").isNull() | (F.col(pos) < F.col("_cut"))).drop("_cut")
 
 
-def take_while(df: DataFrame, keys: list[str], pos: str, recent: Column) -> DataFrame:
-    """Rows before the first one, per key, for which ``recent`` is not true.
+def take_while(
+    df: DataFrame, keys: list[str], pos: str, recent: Column, stops: Column | None = None
+) -> DataFrame:
+    """Recent rows before the first one, per key, that is not recent.
 
+    With ``stops`` only rows for which it is true end the scan; others are just dropped.
     Only the recent rows, a small part of a history, meet the cut positions.
     """
-    stops = ~F.coalesce(recent, F.lit(False))
-    cuts = df.filter(stops).groupBy(*keys).agg(F.min(pos).alias("_cut"))
+    ends = ~F.coalesce(recent, F.lit(False))
+    if stops is not None:
+        ends = ends & stops
+    cuts = df.filter(ends).groupBy(*keys).agg(F.min(pos).alias("_cut"))
     return _before_cut(df.filter(recent), cuts, keys, pos)
 
 
@@ -181,22 +186,25 @@ def _streaks(marks: DataFrame, keys: list[str], pos: str) -> DataFrame:
     return rows.withColumn("_streak", F.col("_base") + F.col("_rank") - last_reset)
 
 
-def first_n(df: DataFrame, keys: list[str], pos: str, n: int) -> DataFrame:
-    """The first ``n`` rows per key.
+def first_n(df: DataFrame, keys: list[str], pos: str, n: int | Column) -> DataFrame:
+    """The first ``n`` rows per key; as a column, the same for all rows of a key, 0 is all.
 
-    Ranked per chunk first, then per key: a hot key reaches its last task with
-    ``n`` rows per chunk, cut again to ``n`` on the map side by the window limit.
+    Ranked per chunk first, then per key: a hot key reaches its last task with at most
+    ``n`` rows per chunk. A fixed ``n`` is also cut on the map side by the window limit.
+    Rows of a key without a limit stay in their chunks.
     """
     chunk = F.shiftright(F.col(pos).cast("bigint"), CHUNK_BITS + 4)
+    if isinstance(n, int):
+        stay, within = F.lit(None).cast("bigint"), F.col("_n") <= n
+    else:
+        stay, within = F.when(n <= 0, F.col("_c")), (n <= 0) | (F.col("_n") <= n)
+    out = df.withColumn("_c", chunk)
     near = W.partitionBy(*keys, "_c").orderBy(pos)
-    whole = W.partitionBy(*keys).orderBy(pos)
+    out = out.withColumn("_n", F.row_number().over(near)).filter(within)
+    out = out.withColumn("_c", stay)
     return (
-        df.withColumn("_c", chunk)
-        .withColumn("_n", F.row_number().over(near))
-        .filter(F.col("_n") <= n)
-        .withColumn("_n", F.row_number().over(whole))
-        .filter(F.col("_n") <= n)
-        .drop("_c", "_n")
+        out.withColumn("_n", F.row_number().over(W.partitionBy(*keys, "_c").orderBy(pos)))
+        .filter(within).drop("_c", "_n")
     )
 
 

@@ -6,14 +6,16 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.text import clean_one_line
 from articleflow.operators import blocks as B
+from articleflow.operators.collect import accepted_items
 from articleflow.operators.filters import in_lookback
 from articleflow.operators.incremental import not_in_history
 from articleflow.plans import fixtures as X
 from articleflow.plans.dates import PLAIN
 from articleflow.plans.incremental import one_line
 from articleflow.plans.registry import query
+from articleflow.session import settle
 from articleflow.sources import feeds, pages
-from articleflow.sources.rules import GENERIC_RULE
+from articleflow.sources.rules import GENERIC_RULE, SITE_RULES
 
 ARTICLE_RULE = {**GENERIC_RULE, "source": "pages"}
 LINKS = r"<a\s+[^>]*?href=[\"']([^\"']*)[\"']"
@@ -246,6 +248,88 @@ def feed_registry_join(spark, sf_dir):
     return kept.drop("feed_url", "entry_pos")
 
 
+# Listing rows of all sites: the documents, spread over the sites of the rule table, each
+# with its date written in its site's way. Every 13th date cannot be read.
+LISTED_STYLES = {
+    "month_day_year": "MMMM d, yyyy", "numeric": "dd.MM.yyyy", "day_month_year": "dd MMMM yyyy",
+    "dotted_month": "MMM'.' d, yyyy", "before_comma": "d MMMM yyyy', x'", "after_label": "'Published Date: 'dd MMM yyyy",
+    "before_bullet": "dd MMMM yyyy' • News'", "slash_day_first": "d/M/yyyy", "slash_month_first": "M/d/yyyy",
+    "relative": "yyyy.M.d", "day_month_abbr": "dd MMM yyyy", "ordinal": "d'th of 'MMMM yyyy",
+    "trailing_dot": "d MMMM yyyy'.'", "feed": "yyyy-MM-dd'T'HH:mm:ss'Z'",
+}
+
+
+def site_items(spark, sf_dir):
+    sites = [r["source"] for r in SITE_RULES]
+    site = F.get(F.array(*[F.lit(x) for x in sites]), (F.col("pos") % len(sites)).cast("int"))
+    s = X.listing(spark, sf_dir).select(
+        site.alias("source"), "pos", "title", "published_on",
+        F.concat(F.lit("/item/"), (F.col("pos") % 700).cast("string")).alias("raw_link"),
+    )
+    s = pages.with_rules(s)
+    raw = F.lit("soon")
+    for style, pattern in LISTED_STYLES.items():
+        raw = F.when(F.col("date_style") == style, F.date_format("published_on", pattern)).otherwise(raw)
+    blank = F.col("pos") % 19 == 18
+    return s.select(
+        *[c for c in s.columns if c not in ("published_on", "raw_link", "title")],
+        F.when(F.col("pos") % 13 == 12, F.lit("soon")).otherwise(raw).alias("date_raw"),
+        F.when(blank, F.lit("")).otherwise(F.col("title")).alias("title"), F.lit("").alias("abstract"),
+        F.when(F.col("pos") % 23 == 22, F.lit("")).otherwise(F.col("raw_link")).alias("link"),
+    )
+
+
+SITE_VALUES = ", ".join(
+    "({}, '{}', '{}', '{}', {}, {}, {}, {})".format(
+        i, r["source"], r.get("base_url", "") + r.get("directory", ""), r.get("on_unparsed", "drop"),
+        bool(r.get("needs_title")), bool(r.get("date_headers")), r.get("cap", 200),
+        r.get("take_while", True) and not r.get("sort_by_date", False),
+    )
+    for i, r in enumerate(SITE_RULES)
+)
+
+
+@query(
+    "site_listing",
+    X.with_sql(
+        X.LISTING + f""",
+        rules(no, site, prefix, on_unparsed, needs_title, date_headers, cap, stops) AS (VALUES {SITE_VALUES}),
+        raw AS (
+          SELECT site AS source, pos, CASE WHEN pos % 19 = 18 THEN '' ELSE title END AS title,
+                 CASE WHEN pos % 23 = 22 THEN '' ELSE prefix || replace('/item/' || CAST(pos % 700 AS VARCHAR), '/item/',
+                   CASE WHEN prefix LIKE '%/Noticias/' THEN '/item/' ELSE '/item/' END) END AS link,
+                 CASE WHEN pos % 13 = 12 THEN NULL ELSE published_on END AS day, r.* EXCLUDE (site)
+          FROM listing JOIN rules r ON r.no = pos % {len(SITE_RULES)}),
+        -- An entry without a link is a date header where a site has them.
+        headed AS (
+          SELECT *, count(*) FILTER (WHERE date_headers AND link = '') OVER (PARTITION BY source ORDER BY pos) AS grp FROM raw),
+        filled AS (
+          SELECT *, CASE WHEN NOT date_headers THEN day WHEN grp = 0 THEN NULL
+                         ELSE first_value(day) OVER (PARTITION BY source, grp ORDER BY pos) END AS d FROM headed),
+        dated AS (
+          SELECT *, CASE WHEN d IS NULL AND on_unparsed = 'today' THEN DATE '2024-01-31' ELSE d END AS published_on
+          FROM filled WHERE link <> '' AND (NOT needs_title OR title <> '')),
+        kept AS (SELECT * FROM dated WHERE published_on IS NOT NULL OR on_unparsed = 'keep_raw'),
+        once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, link ORDER BY pos) AS n FROM kept) x WHERE n = 1),
+        scanned AS (
+          SELECT *, published_on IS NULL OR published_on >= DATE '2024-01-28' AS recent,
+                 min(CASE WHEN published_on IS NULL OR published_on >= DATE '2024-01-28' THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY source ORDER BY pos) AS before_stop FROM once),
+        accepted AS (
+          SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos) AS place FROM scanned
+          WHERE recent AND (NOT stops OR before_stop = 1))""",
+        """
+        SELECT source, pos, link, CAST(published_on AS VARCHAR) AS published_at FROM accepted
+        WHERE cap = 0 OR place <= cap""",
+    ),
+)
+def site_listing(spark, sf_dir):
+    """Every site's listing rules in one plan, over all documents as listed items."""
+    items = settle(pages.resolve_items(site_items(spark, sf_dir), F.lit(X.NOW)), "site-items")
+    done = accepted_items(items, X.NOW, days=3)
+    return done.select("source", "pos", "link", F.col("published_on").cast("string").alias("published_at"))
+
+
 @query(
     "new_page_content",
     X.with_sql(

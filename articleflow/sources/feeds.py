@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from articleflow.functions.dates import entry_date
-from articleflow.functions.text import absolute_url, clean_one_line, content_type, first_filled, html_text, text_of
+from articleflow.functions.text import (
+    absolute_url, clean_one_line, content_type, first_filled, html_text, make_uid, text_of,
+)
+from articleflow.operators.ordered import join_per_key
 
 ITEM_SCHEMA = (
     "title string, link string, pubDate string, published string, `dc:date` string, "
@@ -107,7 +110,8 @@ def feed_registry(spark: SparkSession) -> DataFrame:
     for line in REGISTRY_TEXT.strip().splitlines():
         entity, kind, category, url = line.split("|")
         rows.append((entity, kind, category, url, ENTITY_BASE.get(entity, "")))
-    return spark.createDataFrame(rows, REGISTRY_COLUMNS)
+    names = [part.split()[0] for part in REGISTRY_COLUMNS.split(", ")]
+    return spark.createDataFrame(pa.table(dict(zip(names, map(list, zip(*rows))))))
 
 
 def _first_date(item: Column, names: list[str]) -> Column:
@@ -151,15 +155,6 @@ def feed_entries(documents: DataFrame, xml: str) -> DataFrame:
     return exploded.select(*keep, "entry_pos", "_e.*")
 
 
-def _flat(df: DataFrame, entry: str, build) -> DataFrame:
-    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_i"), _file())
-    return whole.select("feed_file", build(F.col("_i")).alias("_e")).select("feed_file", "_e.*")
-
-
-def _file() -> Column:
-    return F.col("_metadata.file_path").alias("feed_file")
-
-
 def read_feed_files(spark: SparkSession, path: str, kind: str = "rss", stream: bool = False) -> DataFrame:
     """Entries of landed feed files; large files are split at their items.
 
@@ -170,7 +165,9 @@ def read_feed_files(spark: SparkSession, path: str, kind: str = "rss", stream: b
         ("item", ITEM_SCHEMA, _rss_entry) if kind == "rss" else ("entry", ENTRY_SCHEMA, _atom_entry)
     )
     raw = reader.format("xml").schema(schema).option("rowTag", tag).load(path)
-    return _flat(raw, tag, build)
+    item = F.struct(*[F.col(f"`{c}`") for c in raw.columns])
+    rows = raw.select(item.alias("_i"), F.col("_metadata.file_path").alias("feed_file"))
+    return rows.select("feed_file", build(F.col("_i")).alias("_e")).select("feed_file", "_e.*")
 
 
 def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int) -> DataFrame:
@@ -179,9 +176,7 @@ def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int)
     ``feed_url`` names the feed. The uid comes from the raw absolute link, the stored
     url is cleaned.
     """
-    from articleflow.functions.text import make_uid
-
-    joined = entries.join(registry, "feed_url")
+    joined = join_per_key(entries, registry, ["feed_url"], F.struct("title", "link"), "inner")
     link = absolute_url(F.col("link"), F.col("base_url"))
     search = F.concat(text_of(F.col("title")), F.lit(" "), text_of(F.col("summary")))
     keep = [c for c in entries.columns if c not in ("title", "link", "date_raw", "summary")]

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 RULE_SCHEMA = (
@@ -14,7 +15,7 @@ RULE_SCHEMA = (
     "cap int, containers string, block_tags string, loose_tags string, body_text boolean, remove string, "
     "tight_tags string, pick string, separator string, min_length int, loose_min_length int, "
     "free_li boolean, trim boolean, drop_pattern string, pdf_marker boolean, "
-    "abstract_mode string, fallback_chain string"
+    "abstract_mode string, fallback_chain string, needs_title boolean, date_headers boolean"
 )
 
 _DEFAULTS = {
@@ -24,6 +25,7 @@ _DEFAULTS = {
     "loose_tags": "", "body_text": False, "remove": "", "tight_tags": "", "pick": "first",
     "separator": "\n\n", "min_length": 1, "loose_min_length": 1, "free_li": False, "trim": False,
     "drop_pattern": "", "pdf_marker": False, "abstract_mode": "listing", "fallback_chain": "",
+    "needs_title": False, "date_headers": False,
 }
 
 # The job order of the sources.
@@ -46,7 +48,7 @@ SITE_RULES = [
         "[class*=advert],[class*=breadcrumb],[class*=cookies]",
     },
     {
-        "source": "imf", "entity": "IMF", "category": "news", "item": "atomic-result",
+        "source": "imf", "needs_title": True, "entity": "IMF", "category": "news", "item": "atomic-result",
         "item_date": "atomic-text[value]@value", "item_title": "a[href*=/news/articles/]",
         "item_link": "a[href*=/news/articles/]", "item_abstract": "[class*=excerpt]",
         "date_style": "month_day_year", "on_unparsed": "keep_raw", "cap": 0,
@@ -54,7 +56,7 @@ SITE_RULES = [
         "pick": "sufficient", "separator": " ",
     },
     {
-        "source": "tcmb", "entity": "土耳其", "category": "press_releases",
+        "source": "tcmb", "needs_title": True, "entity": "土耳其", "category": "press_releases",
         "base_url": "https://www.tcmb.gov.tr", "item": "div.block-collection-box",
         "item_date": "div.collection-tag", "item_title": "a.collection-title",
         "item_link": "a.collection-title", "date_style": "numeric", "sort_by_date": True, "cap": 0,
@@ -62,7 +64,7 @@ SITE_RULES = [
         "separator": " ", "abstract_mode": "prefix300",
     },
     {
-        "source": "cbr", "entity": "俄罗斯", "category": "news", "base_url": "https://www.cbr.ru",
+        "source": "cbr", "needs_title": True, "entity": "俄罗斯", "category": "news", "base_url": "https://www.cbr.ru",
         "item": "div.news", "item_date": "div.news_date", "item_title": "a.news_title",
         "item_link": "a.news_title", "item_category": "div.news_category",
         "date_style": "day_month_year", "sort_by_date": True, "cap": 0,
@@ -71,14 +73,14 @@ SITE_RULES = [
         "abstract_mode": "prefix300",
     },
     {
-        "source": "boj", "entity": "日本", "category": "whatsnew",
+        "source": "boj", "needs_title": True, "entity": "日本", "category": "whatsnew",
         "base_url": "https://www.boj.or.jp", "date_style": "dotted_month", "sort_by_date": True,
         "cap": 0, "containers": "div.outline.mod_outer,div#content,div.main,article,body > div",
         "block_tags": "h1,h2,h3,p,li,ul.link-list01 a", "loose_tags": "p,h2,h3", "body_text": True,
         "min_length": 6, "loose_min_length": 11, "pdf_marker": True, "abstract_mode": "prefix300",
     },
     {
-        "source": "ecb", "entity": "欧央行", "category": "press",
+        "source": "ecb", "date_headers": True, "entity": "欧央行", "category": "press",
         "base_url": "https://www.ecb.europa.eu", "item": "dl > dt,dl > dd",
         "item_title": ".title a", "item_link": ".title a", "date_style": "before_comma", "cap": 0,
         "containers": "main | div.section", "block_tags": "h1,h2,h3,h4,p,li",
@@ -177,4 +179,7 @@ def rules_table(spark: SparkSession, rules: list[dict] | None = None) -> DataFra
         raise ValueError(f"{len(rules)} rules; join a table of that size instead")
     rows = [{**_DEFAULTS, **r} for r in (SITE_RULES if rules is None else rules)]
     names = [part.split()[0] for part in RULE_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], RULE_SCHEMA)
+    # From Arrow the rows become a local relation, whose size the planner knows.
+    table = pa.table({n: [r[n] for r in rows] for n in names})
+    columns = [f"cast({part.split()[0]} as {part.split()[1]}) as {part.split()[0]}" for part in RULE_SCHEMA.split(", ")]
+    return spark.createDataFrame(table).selectExpr(*columns)

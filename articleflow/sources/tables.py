@@ -54,16 +54,22 @@ def write_batch(rows: DataFrame, path: str, run_date: str) -> None:
     )
 
 
-def write_back_history(spark: SparkSession, path: str, batch: DataFrame, pos: str) -> None:
-    """Put verdicts into the stored history, in the touched loads only.
+def write_back_history(
+    spark: SparkSession, path: str, batch: DataFrame, pos: str, load_ids: list[int] | None = None
+) -> None:
+    """Put verdicts into the stored history, rewriting the touched loads only.
 
-    A verdict usually belongs to the newest load, so old partitions are not rewritten.
+    A run knows which loads it judged: with ``load_ids`` only their partitions are
+    read. Otherwise the uid column of the history is searched for them first.
     """
     history = read_history(spark, path)
-    touched = history.join(batch.select("uid").distinct(), "uid", "left_semi").select("load_id").distinct()
-    part = history.join(touched, "load_id", "left_semi")
-    names = [f.name for f in HISTORY.fields]
-    updated = write_back(part, batch, pos, VERDICT_FIELDS).select(*names)
+    if load_ids is not None:
+        part = history.filter(F.col("load_id").isin(load_ids))
+    else:
+        judged = batch.select("uid").distinct()
+        touched = history.join(judged, "uid", "left_semi").select("load_id").distinct()
+        part = history.join(touched, "load_id", "left_semi")
+    updated = write_back(part, batch, pos, VERDICT_FIELDS).select(*[f.name for f in HISTORY.fields])
     (
         updated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_id").parquet(path)

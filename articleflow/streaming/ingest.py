@@ -13,14 +13,17 @@ from articleflow.operators.incremental import canonicalize, new_rows
 from articleflow.sources.tables import create_history, read_history, write_load
 
 
-def load_batch(batch: DataFrame, history: DataFrame, now: Column | date, pos: str, days: int = 1) -> DataFrame:
+def load_batch(
+    batch: DataFrame, history: DataFrame, now: Column | date, pos: str, days: int = 1,
+    stored: bool = False,
+) -> DataFrame:
     """Recent, first-seen, unknown rows of a batch, as canonical articles.
 
     ``batch`` needs ``published_on`` and ``uid``. Texts are cleaned last, so only
     rows that stay pay for it.
     """
     recent = lookback(batch, now, days)
-    return canonicalize(new_rows(recent, history, pos), keep=[pos])
+    return canonicalize(new_rows(recent, history, pos, stored=stored), keep=[pos])
 
 
 def ingest(
@@ -39,7 +42,7 @@ def ingest(
     def load(batch: DataFrame, batch_id: int) -> None:
         history = read_history(batch.sparkSession, history_path)
         earlier = history.filter(F.col("load_id") < batch_id)
-        rows = load_batch(batch, earlier, clock(batch_id), pos, days)
+        rows = load_batch(batch, earlier, clock(batch_id), pos, days, stored=True)
         write_load(rows, history_path, batch_id)
 
     return (

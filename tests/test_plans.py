@@ -62,9 +62,9 @@ def test_the_history_is_read_for_its_key_only(spark, no_broadcast, tmp_path):
 def test_a_small_batch_does_not_shuffle_the_history(spark, tmp_path):
     X.articles(spark, SF).write.parquet(str(tmp_path / "h"))
     history = spark.read.parquet(str(tmp_path / "h"))
-    batch = spark.createDataFrame([(1, "a")], "pos bigint, uid string")
+    batch = X.articles(spark, SF).select("pos", "uid")
     nodes = tree(I.new_rows(batch, history, "pos"))
-    scan = next(i for i, n in enumerate(nodes) if STORED in n[2])
+    scan = next(i for i, n in enumerate(nodes) if re.search(r"FileScan parquet \[uid#\d+\]", n[2]))
     above = [n[1] for n in nodes[:scan] if n[0] < nodes[scan][0]]
     assert above.index("BroadcastHashJoin") >= 0
     between = above[len(above) - above[::-1].index("BroadcastHashJoin"):]

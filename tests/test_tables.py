@@ -60,7 +60,8 @@ def test_evaluated_output(spark, tmp_path, suffix):
     assert [tuple(r) for r in back.collect()] == [("t\nu", 'say "x"', "TRUE")]
 
 
-def test_loads_are_idempotent_and_write_back_touches_its_loads(spark, tmp_path):
+@pytest.mark.parametrize("load_ids", [None, [1]])
+def test_loads_are_idempotent_and_write_back_touches_its_loads(spark, tmp_path, load_ids):
     path = str(tmp_path / "history")
     T.create_history(spark, path)
     for load_id, (lo, hi) in enumerate([(0, 30), (20, 60)]):
@@ -77,7 +78,7 @@ def test_loads_are_idempotent_and_write_back_touches_its_loads(spark, tmp_path):
 
     first, second, stored = files(0), files(1), history.count()
     newest = history.filter("load_id = 1").select("uid", F.lit(1).alias("pos"), *[F.lit("TRUE").alias(c) for c in VERDICT_FIELDS])
-    T.write_back_history(spark, path, newest, "pos")
+    T.write_back_history(spark, path, newest, "pos", load_ids)
     assert files(0) == first and files(1) != second
     after = T.read_history(spark, path)
     assert after.count() == stored
