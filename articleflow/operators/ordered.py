@@ -1,10 +1,10 @@
 """Ordered scans over listings, without putting one source into one task.
 
-A running value over ``(keys, pos)`` is computed in levels. Rows are cut
-into chunks of ``2**CHUNK_BITS`` consecutive positions; since ``pos`` is unique
-within its keys, a chunk is bounded however hot the key is. Each chunk is scanned
-by a window of its own, chunk totals (one small row each) are scanned the same
-way, and every row adds what its chunk carries in.
+A running value over ``(keys, pos)`` is computed in two steps. Rows are cut into
+chunks of ``2**CHUNK_BITS`` consecutive positions; since ``pos`` is unique within its
+keys, a chunk is bounded however hot the key is. Each chunk is scanned by a window of
+its own; chunk totals, one small row per 65,536 positions, are scanned per key, and
+every row adds what its chunk carries in.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BITS = 12
-LEVELS = 1  # chunks of chunks: one row per 2**24 positions remains for the last scan
+CHUNK_BITS = 16
 SALTS = 64
 
 
@@ -43,31 +42,11 @@ class _Measure:
         return F.greatest(own, carried)
 
 
-def _carry_in(parts: DataFrame, keys: list[str], measures: list[_Measure], level: int) -> DataFrame:
-    """Exclusive running values over chunk totals ``parts(keys, _c, <name>)``."""
-    before = W.partitionBy(*keys).orderBy("_c") if keys else W.orderBy("_c")
-    if level == 0:
-        frame = before.rowsBetween(W.unboundedPreceding, -1)
-        return parts.select(
-            *keys, "_c", *[m.whole(F.col(m.name)).over(frame).alias(f"_in_{m.name}") for m in measures]
-        )
-    above = parts.withColumn("_up", _chunk(F.col("_c")))
-    totals = above.groupBy(*keys, F.col("_up").alias("_c")).agg(
-        *[m.whole(F.col(m.name)).alias(m.name) for m in measures]
-    )
-    carried = _carry_in(totals, keys, measures, level - 1).withColumnRenamed("_c", "_up")
-    frame = W.partitionBy(*keys, "_up").orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
-    local = above.select(
-        *keys, "_up", "_c",
-        *[m.whole(F.col(m.name)).over(frame).alias(f"_own_{m.name}") for m in measures],
-    )
-    joined = local.join(carried, [*keys, "_up"], "left")
-    return joined.select(
-        *keys, "_c",
-        *[
-            m.merge(F.col(f"_own_{m.name}"), F.col(f"_in_{m.name}")).alias(f"_in_{m.name}")
-            for m in measures
-        ],
+def _carry_in(parts: DataFrame, keys: list[str], measures: list[_Measure]) -> DataFrame:
+    """Values of all earlier chunks, from chunk totals ``parts(keys, _c, <name>)``."""
+    before = W.partitionBy(*keys).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
+    return parts.select(
+        *keys, "_c", *[m.whole(F.col(m.name)).over(before).alias(f"_in_{m.name}") for m in measures]
     )
 
 
@@ -105,7 +84,7 @@ def running(
     measures += [_Measure(n, c, "max") for n, c in (maxes or {}).items()]
     rows = df.withColumns({"_c": _chunk(F.col(pos)), **{m.name: m.value for m in measures}})
     parts = _chunk_totals(rows, keys, measures)
-    carried = _carry_in(parts, keys, measures, LEVELS)
+    carried = _carry_in(parts, keys, measures)
     last = 0 if inclusive else -1
     frame = W.partitionBy(*keys, "_c").orderBy(pos).rowsBetween(W.unboundedPreceding, last)
     local = rows.withColumns({m.name: m.whole(F.col(m.name)).over(frame) for m in measures})
@@ -177,10 +156,11 @@ def _streaks(marks: DataFrame, keys: list[str], pos: str) -> DataFrame:
     sizes = local.groupBy(*chunk).agg(
         F.max("_rank").cast("bigint").alias("_size"), F.max(reset).alias("_last")
     )
-    placed = running(sizes, keys, "_chunk", sums={"_base": F.col("_size")}, inclusive=False)
-    carried = running(
-        placed, keys, "_chunk", maxes={"_before": F.col("_base") + F.col("_last")}, inclusive=False
-    ).select(*chunk, "_base", "_before")
+    before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    placed = sizes.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    carried = placed.withColumn("_before", F.max(F.col("_base") + F.col("_last")).over(before)).select(
+        *chunk, "_base", "_before"
+    )
     rows = local.withColumn("_own", F.max(reset).over(frame)).join(carried, chunk, "left")
     last_reset = F.greatest(F.col("_base") + F.col("_own"), F.col("_before"), F.lit(0))
     return rows.withColumn("_streak", F.col("_base") + F.col("_rank") - last_reset)
@@ -193,7 +173,7 @@ def first_n(df: DataFrame, keys: list[str], pos: str, n: int | Column) -> DataFr
     ``n`` rows per chunk. A fixed ``n`` is also cut on the map side by the window limit.
     Rows of a key without a limit stay in their chunks.
     """
-    chunk = F.shiftright(F.col(pos).cast("bigint"), CHUNK_BITS + 4)
+    chunk = F.shiftright(F.col(pos).cast("bigint"), CHUNK_BITS)
     if isinstance(n, int):
         stay, within = F.lit(None).cast("bigint"), F.col("_n") <= n
     else:
