@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.dates import resolve_undated
 from articleflow.functions.text import clean_one_line, content_type, make_uid, text_of
-from articleflow.operators.filters import category_or_default, content_fallback, derived_abstract, in_lookback
-from articleflow.operators.incremental import first_link_per_source, not_in_history
-from articleflow.operators.ordered import fill_down, first_n, take_while
+from articleflow.operators.filters import (
+    category_or_default, content_fallback, derived_abstract, in_lookback, is_skipped_link,
+)
+from articleflow.operators.incremental import first_link_per_source, mark_known
+from articleflow.operators.ordered import fill_down, first_n, take_while, until_seen_streak
 
 PAGE_BITS = 20
 
@@ -24,12 +26,14 @@ def listing_position(page_no: Column, pos: Column) -> Column:
     return F.shiftleft(page_no.cast("bigint"), PAGE_BITS) + pos.cast("bigint")
 
 
-def accepted_items(items: DataFrame, now: Column | date, days: int = 1, pos: str = "pos") -> DataFrame:
+def accepted_items(
+    items: DataFrame, now: Column | date, days: int = 1, pos: str = "pos", history: DataFrame | None = None
+) -> DataFrame:
     """Items a run takes from its listings.
 
     ``items`` are resolved listing rows with their rule columns: source, pos, title,
     link, published_on. Order of the steps: dates from headers, required fields,
-    undated policy, repeats, age (stop or filter), cap (0 is none). A listing sorted by date is
+    undated policy, repeats, age (stop or filter), known links, cap (0 is none). A listing sorted by date is
     newest first, so its age stop keeps the same rows as a filter does. The items are
     read several times: pass a stored table, not pages still to be walked.
     """
@@ -41,14 +45,29 @@ def accepted_items(items: DataFrame, now: Column | date, days: int = 1, pos: str
     ).drop("_day_pos")
     under = under.withColumn("published_on", F.col("_day")).drop("_day")
     rows = own.unionByName(under).filter(
-        (text_of(F.col("link")) != "") & (~F.col("needs_title") | (text_of(F.col("title")) != ""))
+        (text_of(F.col("link")) != "")
+        & (~F.col("needs_title") | (text_of(F.col("title")) != ""))
+        & ~(F.col("skip_documents") & is_skipped_link(F.col("link"), F.col("title")))
     )
     dated = rows.withColumn("published_on", resolve_undated(F.col("published_on"), F.col("on_unparsed"), today))
     kept = dated.filter(F.col("published_on").isNotNull() | (F.col("on_unparsed") == "keep_raw"))
     once = first_link_per_source(kept, "source", "link", pos)
     recent = in_lookback(F.col("published_on"), now, days) | F.col("published_on").isNull()
     stops = F.col("take_while") & ~F.col("sort_by_date")
-    return first_n(take_while(once, ["source"], pos, recent, stops), ["source"], pos, F.col("cap"))
+    rows = take_while(once, ["source"], pos, recent, stops)
+    if history is not None:
+        rows = without_known(rows, history, pos)
+    return first_n(rows, ["source"], pos, F.col("cap"))
+
+
+def without_known(items: DataFrame, history: DataFrame, pos: str) -> DataFrame:
+    """Drop known links of the sources that ask for it; with a ``seen_limit`` the scan
+    of a source ends at that many known links in a row."""
+    named = mark_known(items.withColumn("url", F.col("link")), history, "url", "_known").drop("url")
+    ending = named.filter(F.col("seen_limit") > 0)
+    ended = until_seen_streak(ending, ["source"], pos, F.col("_known"), F.col("seen_limit"))
+    rest = named.filter((F.col("seen_limit") <= 0) & ~(F.col("drop_known") & F.col("_known")))
+    return rest.unionByName(ended).drop("_known")
 
 
 def as_articles(items: DataFrame, crawl_time: Column) -> DataFrame:
@@ -68,9 +87,3 @@ def as_articles(items: DataFrame, crawl_time: Column) -> DataFrame:
         F.when(c("pdf_marker"), content_type(c("link"))).otherwise(F.lit("html")).alias("content_type"),
         crawl_time.alias("crawl_time"),
     )
-
-
-def unseen_items(items: DataFrame, history: DataFrame) -> DataFrame:
-    """Drop items whose link is known, before any of their pages is read."""
-    named = items.withColumn("url", F.col("link"))
-    return not_in_history(named, history, "pos", by="url").drop("url")

@@ -127,7 +127,8 @@ def take_while(
 
 
 def until_seen_streak(
-    df: DataFrame, keys: list[str], pos: str, seen: Column, limit: int = 30, old: Column | None = None
+    df: DataFrame, keys: list[str], pos: str, seen: Column, limit: int | Column = 30,
+    old: Column | None = None,
 ) -> DataFrame:
     """Unseen rows before the scan stops, per key.
 
@@ -138,8 +139,8 @@ def until_seen_streak(
     if old is not None:
         df = take_while(df, keys, pos, ~F.coalesce(old, F.lit(False)))
     is_seen = F.coalesce(seen, F.lit(False))
-    streaks = _streaks(df.select(*keys, pos, is_seen.alias("_seen")), keys, pos)
-    cuts = streaks.filter(F.col("_streak") >= limit).groupBy(*keys).agg(F.min(pos).alias("_cut"))
+    marks = df.select(*keys, pos, is_seen.alias("_seen"), F.lit(limit).alias("_limit"))
+    cuts = _streaks(marks, keys, pos).filter(F.col("_streak") >= F.col("_limit")).groupBy(*keys).agg(F.min(pos).alias("_cut"))
     return _before_cut(df.filter(~is_seen), cuts, keys, pos)
 
 

@@ -244,8 +244,8 @@ def feed_registry_join(spark, sf_dir):
         F.concat(base, F.lit("/feed")).alias("feed_url"), base.alias("base_url"),
     )
     rows = feeds.resolve_entries(feeds.feed_entries(docs, "xml"), registry, 2026)
-    kept = rows.filter(in_lookback(F.to_date(F.substring("published_at", 1, 10)), X.NOW, days=11))
-    return kept.drop("feed_url", "entry_pos")
+    kept = rows.filter(in_lookback(F.col("published_on"), X.NOW, days=11))
+    return kept.drop("feed_url", "entry_pos", "published_on")
 
 
 # Listing rows of all sites: the documents, spread over the sites of the rule table, each
@@ -280,10 +280,11 @@ def site_items(spark, sf_dir):
 
 
 SITE_VALUES = ", ".join(
-    "({}, '{}', '{}', '{}', {}, {}, {}, {})".format(
+    "({}, '{}', '{}', '{}', {}, {}, {}, {}, {}, {}, {})".format(
         i, r["source"], r.get("base_url", "") + r.get("directory", ""), r.get("on_unparsed", "drop"),
         bool(r.get("needs_title")), bool(r.get("date_headers")), r.get("cap", 200),
         r.get("take_while", True) and not r.get("sort_by_date", False),
+        bool(r.get("skip_documents")), bool(r.get("drop_known")), r.get("seen_limit", 0),
     )
     for i, r in enumerate(SITE_RULES)
 )
@@ -293,13 +294,15 @@ SITE_VALUES = ", ".join(
     "site_listing",
     X.with_sql(
         X.LISTING + f""",
-        rules(no, site, prefix, on_unparsed, needs_title, date_headers, cap, stops) AS (VALUES {SITE_VALUES}),
+        rules(no, site, prefix, on_unparsed, needs_title, date_headers, cap, stops, skip_documents, drop_known, seen_limit) AS (VALUES {SITE_VALUES}),
         raw AS (
           SELECT site AS source, pos, CASE WHEN pos % 19 = 18 THEN '' ELSE title END AS title,
-                 CASE WHEN pos % 23 = 22 THEN '' ELSE prefix || replace('/item/' || CAST(pos % 700 AS VARCHAR), '/item/',
-                   CASE WHEN prefix LIKE '%/Noticias/' THEN '/item/' ELSE '/item/' END) END AS link,
+                 CASE WHEN pos % 23 = 22 THEN '' ELSE prefix || '/item/' || CAST(pos % 700 AS VARCHAR) END AS link,
                  CASE WHEN pos % 13 = 12 THEN NULL ELSE published_on END AS day, r.* EXCLUDE (site)
           FROM listing JOIN rules r ON r.no = pos % {len(SITE_RULES)}),
+        stored AS (
+          SELECT pos, prefix FROM listing JOIN rules r ON r.no = pos % {len(SITE_RULES)}
+          WHERE published_on < DATE '2024-01-29'),
         -- An entry without a link is a date header where a site has them.
         headed AS (
           SELECT *, count(*) FILTER (WHERE date_headers AND link = '') OVER (PARTITION BY source ORDER BY pos) AS grp FROM raw),
@@ -308,16 +311,28 @@ SITE_VALUES = ", ".join(
                          ELSE first_value(day) OVER (PARTITION BY source, grp ORDER BY pos) END AS d FROM headed),
         dated AS (
           SELECT *, CASE WHEN d IS NULL AND on_unparsed = 'today' THEN DATE '2024-01-31' ELSE d END AS published_on
-          FROM filled WHERE link <> '' AND (NOT needs_title OR title <> '')),
+          FROM filled WHERE link <> '' AND (NOT needs_title OR title <> '')
+            AND NOT (skip_documents AND regexp_matches(lower(title), 'annex|attachment|chart|figure|table'))),
         kept AS (SELECT * FROM dated WHERE published_on IS NOT NULL OR on_unparsed = 'keep_raw'),
         once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, link ORDER BY pos) AS n FROM kept) x WHERE n = 1),
         scanned AS (
           SELECT *, published_on IS NULL OR published_on >= DATE '2024-01-28' AS recent,
                  min(CASE WHEN published_on IS NULL OR published_on >= DATE '2024-01-28' THEN 1 ELSE 0 END)
                    OVER (PARTITION BY source ORDER BY pos) AS before_stop FROM once),
+        seen AS (
+          SELECT *, link IN (SELECT prefix || '/item/' || CAST(pos % 700 AS VARCHAR) FROM stored) AS known
+          FROM scanned WHERE recent AND (NOT stops OR before_stop = 1)),
+        islands AS (
+          SELECT *, sum(CASE WHEN known THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY pos) AS island FROM seen),
+        runs AS (
+          SELECT *, sum(CASE WHEN known THEN 1 ELSE 0 END) OVER (PARTITION BY source, island ORDER BY pos) AS run
+          FROM islands),
+        cuts AS (SELECT source, min(pos) AS cut FROM runs WHERE known AND run >= seen_limit AND seen_limit > 0 GROUP BY source),
+        unknown AS (
+          SELECT s.* FROM seen s LEFT JOIN cuts c ON s.source = c.source
+          WHERE NOT (drop_known AND known) AND (c.cut IS NULL OR s.pos < c.cut)),
         accepted AS (
-          SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos) AS place FROM scanned
-          WHERE recent AND (NOT stops OR before_stop = 1))""",
+          SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos) AS place FROM unknown)""",
         """
         SELECT source, pos, link, CAST(published_on AS VARCHAR) AS published_at FROM accepted
         WHERE cap = 0 OR place <= cap""",
@@ -326,7 +341,13 @@ SITE_VALUES = ", ".join(
 def site_listing(spark, sf_dir):
     """Every site's listing rules in one plan, over all documents as listed items."""
     items = settle(pages.resolve_items(site_items(spark, sf_dir), F.lit(X.NOW)), "site-items")
-    done = accepted_items(items, X.NOW, days=3)
+    stored = X.listing(spark, sf_dir).filter(F.col("published_on") < F.lit("2024-01-29").cast("date"))
+    number = (F.col("pos") % len(SITE_RULES)).cast("int")
+    prefixes = F.array(*[F.lit(r.get("base_url", "") + r.get("directory", "")) for r in SITE_RULES])
+    known = stored.select(
+        F.concat(F.get(prefixes, number), F.lit("/item/"), (F.col("pos") % 700).cast("string")).alias("url")
+    )
+    done = accepted_items(items, X.NOW, days=3, history=known)
     return done.select("source", "pos", "link", F.col("published_on").cast("string").alias("published_at"))
 
 

@@ -48,9 +48,9 @@ def with_corpus_defaults(df: DataFrame) -> DataFrame:
     return df.select(*others, *[value(n).alias(n) for n in defaults])
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of records. JSON Lines is read by ``multi_line=False`` readers."""
-    return with_corpus_defaults(spark.read.schema(CORPUS).option("multiLine", True).json(path))
+def read_corpus(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A JSON array of records, or JSON Lines (splittable) without ``multi_line``."""
+    return with_corpus_defaults(spark.read.schema(CORPUS).option("multiLine", multi_line).json(path))
 
 
 def validate_articles(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -174,8 +174,9 @@ def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int)
     """Feed entries as article columns, before any window or repeat is considered.
 
     ``feed_url`` names the feed. The uid comes from the raw absolute link, the stored
-    url is cleaned.
+    url is cleaned. Entries without any date are dropped.
     """
+    day = F.to_date(F.substring("published_at", 1, 10))
     joined = join_per_key(entries, registry, ["feed_url"], F.struct("title", "link"), "inner")
     link = absolute_url(F.col("link"), F.col("base_url"))
     search = F.concat(text_of(F.col("title")), F.lit(" "), text_of(F.col("summary")))
@@ -191,4 +192,4 @@ def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int)
         clean_one_line(link).alias("url"),
         html_text(F.col("summary")).alias("abstract"),
         content_type(link).alias("content_type"),
-    ).filter(F.col("published_at") != "")
+    ).filter(F.col("published_at") != "").withColumn("published_on", day)

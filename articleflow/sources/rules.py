@@ -15,7 +15,8 @@ RULE_SCHEMA = (
     "cap int, containers string, block_tags string, loose_tags string, body_text boolean, remove string, "
     "tight_tags string, pick string, separator string, min_length int, loose_min_length int, "
     "free_li boolean, trim boolean, drop_pattern string, pdf_marker boolean, "
-    "abstract_mode string, fallback_chain string, needs_title boolean, date_headers boolean"
+    "abstract_mode string, fallback_chain string, needs_title boolean, date_headers boolean, "
+    "skip_documents boolean, drop_known boolean, seen_limit int"
 )
 
 _DEFAULTS = {
@@ -25,7 +26,8 @@ _DEFAULTS = {
     "loose_tags": "", "body_text": False, "remove": "", "tight_tags": "", "pick": "first",
     "separator": "\n\n", "min_length": 1, "loose_min_length": 1, "free_li": False, "trim": False,
     "drop_pattern": "", "pdf_marker": False, "abstract_mode": "listing", "fallback_chain": "",
-    "needs_title": False, "date_headers": False,
+    "needs_title": False, "date_headers": False, "skip_documents": False, "drop_known": False,
+    "seen_limit": 0,
 }
 
 # The job order of the sources.
@@ -48,7 +50,8 @@ SITE_RULES = [
         "[class*=advert],[class*=breadcrumb],[class*=cookies]",
     },
     {
-        "source": "imf", "needs_title": True, "entity": "IMF", "category": "news", "item": "atomic-result",
+        "source": "imf", "needs_title": True, "drop_known": True, "seen_limit": 30,
+        "entity": "IMF", "category": "news", "item": "atomic-result",
         "item_date": "atomic-text[value]@value", "item_title": "a[href*=/news/articles/]",
         "item_link": "a[href*=/news/articles/]", "item_abstract": "[class*=excerpt]",
         "date_style": "month_day_year", "on_unparsed": "keep_raw", "cap": 0,
@@ -80,7 +83,8 @@ SITE_RULES = [
         "min_length": 6, "loose_min_length": 11, "pdf_marker": True, "abstract_mode": "prefix300",
     },
     {
-        "source": "ecb", "date_headers": True, "entity": "欧央行", "category": "press",
+        "source": "ecb", "date_headers": True, "skip_documents": True, "drop_known": True,
+        "entity": "欧央行", "category": "press",
         "base_url": "https://www.ecb.europa.eu", "item": "dl > dt,dl > dd",
         "item_title": ".title a", "item_link": ".title a", "date_style": "before_comma", "cap": 0,
         "containers": "main | div.section", "block_tags": "h1,h2,h3,h4,p,li",

@@ -19,9 +19,11 @@ def load_batch(
 ) -> DataFrame:
     """Recent, first-seen, unknown rows of a batch, as canonical articles.
 
-    ``batch`` needs ``published_on`` and ``uid``. Texts are cleaned last, so only
-    rows that stay pay for it.
+    ``batch`` needs ``published_on`` and ``uid``; without a position its rows count as
+    read. Texts are cleaned last, so only rows that stay pay for it.
     """
+    if pos not in batch.columns:
+        batch = batch.withColumn(pos, F.monotonically_increasing_id())
     recent = lookback(batch, now, days)
     return canonicalize(new_rows(recent, history, pos, stored=stored), keep=[pos])
 

@@ -54,3 +54,27 @@ def test_registry(spark):
     r = feeds.feed_registry(spark)
     assert (r.count(), r.select("feed_url").distinct().count(), r.select("entity").distinct().count()) == (65, 65, 16)
     assert r.filter(F.col("base_url") != "").select("entity").distinct().count() == 2
+
+
+def test_feed_files_to_history(spark, tmp_path):
+    """Feed files as a stream, resolved against the registry, into the history."""
+    from datetime import date
+
+    from articleflow.sources import tables
+    from articleflow.streaming.ingest import ingest
+
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "boj.xml").write_text(RSS, encoding="utf-8")
+    entries = feeds.read_feed_files(spark, str(landing), stream=True).withColumn(
+        "feed_url", F.lit("https://www.boj.or.jp/en/rss/whatsnew.xml")
+    )
+    rows = feeds.resolve_entries(entries, feeds.feed_registry(spark), 2026)
+    for _ in range(2):
+        ingest(
+            rows, str(tmp_path / "history"), str(tmp_path / "cp"), "pos", lambda batch_id: date(2024, 1, 31)
+        ).awaitTermination()
+    got = tables.read_history(spark, str(tmp_path / "history")).orderBy("title").collect()
+    assert [(r["entity"], r["title"], r["published_at"], r["load_id"]) for r in got] == [
+        ("日本", "A & B", "2024-01-31 10:00:00", 0), ("日本", "No date, on 2024-01-30", "2024-01-30 00:00:00", 0),
+    ]

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from articleflow.operators import blocks as B
+from articleflow.operators.collect import accepted_items, as_articles
 from articleflow.operators.filters import apply_undated_policy
 from articleflow.operators.ordered import fill_down, take_while
 from articleflow.sources import dom, pages
@@ -164,3 +165,21 @@ def test_block_helpers(spark):
     ).first()
     assert tuple(row) == ("abc|x|abcd", "x|abcd", "abcx", "abcd")
     assert B.block_rows(df, "page_id").count() == 4
+
+
+def test_items_become_articles(spark):
+    html = "<div class='block-collection-box'><a class='collection-title' href='/x'>T</a><div class='collection-tag'>31/01/2024</div></div>"
+    found = items(spark, "tcmb", html).withColumn("content", F.lit(" c" * 200))
+    row = as_articles(accepted_items(found, NOW), F.lit("2024-01-31 08:00:00")).first()
+    assert (row["url"], row["category"], row["published_at"]) == ("https://www.tcmb.gov.tr/x", "press_releases", "2024-01-31")
+    assert row["abstract"] == "c " * 149 + "c" and row["content_type"] == "html" and row["entity"] == "土耳其"
+
+
+def test_known_links_end_a_listing(spark):
+    card = "<atomic-result><a href='https://x/news/articles/{0}'>t{0}</a><atomic-text value='January 31, 2024'></atomic-text></atomic-result>"
+    found = items(spark, "imf", "".join(card.format(i) for i in range(40)))
+    history = spark.createDataFrame([(f"https://x/news/articles/{i}",) for i in range(2, 33)], "url string")
+    kept = accepted_items(found, NOW, history=history).orderBy("pos")
+    assert [r["title"] for r in kept.collect()] == ["t0", "t1"]
+    gap = history.filter("url <> 'https://x/news/articles/20'")
+    assert accepted_items(found, NOW, history=gap).count() == 10
