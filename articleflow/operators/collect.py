@@ -17,6 +17,7 @@ from articleflow.operators.filters import (
 )
 from articleflow.operators.incremental import first_link_per_source, mark_known
 from articleflow.operators.ordered import fill_down, first_n, take_while, until_seen_streak
+from articleflow.session import settle
 
 PAGE_BITS = 20
 
@@ -56,7 +57,8 @@ def accepted_items(
     stops = F.col("take_while") & ~F.col("sort_by_date")
     rows = take_while(once, ["source"], pos, recent, stops)
     if history is not None:
-        rows = without_known(rows, history, pos)
+        # The recent items, a small part of the listings, are read several times from here.
+        rows = without_known(settle(rows, "recent-items"), history, pos)
     return first_n(rows, ["source"], pos, F.col("cap"))
 
 

@@ -272,7 +272,7 @@ def site_items(spark, sf_dir):
         raw = F.when(F.col("date_style") == style, F.date_format("published_on", pattern)).otherwise(raw)
     blank = F.col("pos") % 19 == 18
     return s.select(
-        *[c for c in s.columns if c not in ("published_on", "raw_link", "title")],
+        *[c for c in s.columns if c not in ("published_on", "raw_link", "title", *pages.CONTENT_RULES)],
         F.when(F.col("pos") % 13 == 12, F.lit("soon")).otherwise(raw).alias("date_raw"),
         F.when(blank, F.lit("")).otherwise(F.col("title")).alias("title"), F.lit("").alias("abstract"),
         F.when(F.col("pos") % 23 == 22, F.lit("")).otherwise(F.col("raw_link")).alias("link"),

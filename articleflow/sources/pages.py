@@ -26,6 +26,13 @@ ITEM_ROW = pa.struct([("pos", pa.int32()), *[(n, pa.string()) for n in ITEM_FIEL
 ITEMS = "array<struct<pos:int," + ",".join(f"{n}:string" for n in ITEM_FIELDS) + ">>"
 
 
+# Rule columns that only the article pages themselves need.
+CONTENT_RULES = [
+    "containers", "block_tags", "loose_tags", "body_text", "remove", "tight_tags", "pick", "separator",
+    "min_length", "loose_min_length", "free_li", "trim", "drop_pattern",
+]
+
+
 def _groups(selector: str) -> list[str]:
     return [g.strip() for g in selector.split("|") if g.strip()]
 
@@ -117,8 +124,10 @@ def _map_pages(
     pages: DataFrame, rule_columns: list[str], fn: Callable[[str, dict], list[dict]],
     name: str, sql_type: str, arrow_type: pa.DataType,
 ) -> DataFrame:
-    """Add ``name`` computed from ``html``; all columns but ``html`` pass through."""
-    keep = [c for c in pages.columns if c != "html"]
+    """Add ``name`` computed from ``html``. The page and the selectors end here, so that
+    later shuffles do not carry them; all other columns pass through."""
+    done = {"html", *rule_columns} - {"pick"}
+    keep = [c for c in pages.columns if c not in done]
     types = dict(pages.dtypes)
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in keep], f"`{name}` {sql_type}"])
 
@@ -154,7 +163,7 @@ def extract_items(pages: DataFrame) -> DataFrame:
     columns = [
         "item", "item_date", "item_title", "item_link", "item_abstract", "item_category",
     ]
-    items = _map_pages(pages, columns, page_items, "items", ITEMS, ITEM_ROW)
+    items = _map_pages(pages.drop(*CONTENT_RULES), columns, page_items, "items", ITEMS, ITEM_ROW)
     keep = [c for c in items.columns if c not in ("items", "category")]
     site = [F.col("category").alias("site_category")] if "category" in items.columns else []
     return items.select(*keep, *site, F.explode("items").alias("i")).select(
@@ -171,4 +180,4 @@ def resolve_items(items: DataFrame, today: Column) -> DataFrame:
             "title": clean_one_line(F.col("title")),
             "abstract": clean_one_line(F.col("abstract")),
         }
-    )
+    ).drop("date_style", "base_url", "directory")

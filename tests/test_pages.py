@@ -7,6 +7,7 @@ from articleflow.operators import blocks as B
 from articleflow.operators.collect import accepted_items, as_articles
 from articleflow.operators.filters import apply_undated_policy
 from articleflow.operators.ordered import fill_down, take_while
+from articleflow.session import settle
 from articleflow.sources import dom, pages
 from articleflow.sources.rules import JOB_ORDER, SITE_RULES, rules_table
 
@@ -21,8 +22,8 @@ def contents(spark, *rows):
 
 def items(spark, source, html):
     df = spark.createDataFrame([(1, source, html)], "page_id bigint, source string, html string")
-    found = pages.resolve_items(pages.extract_items(pages.with_rules(df)), F.lit(NOW))
-    return found.orderBy("pos")
+    found = settle(pages.extract_items(pages.with_rules(df)), "items")
+    return settle(pages.resolve_items(found, F.lit(NOW)), "resolved").orderBy("pos")
 
 
 def test_every_job_has_a_rule():
