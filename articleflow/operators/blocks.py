@@ -78,13 +78,15 @@ def sufficient_container(texts: Column, whole_page: Column, enough: int = 100) -
 
 def block_rows(pages: DataFrame, id_column: str, blocks: str = "blocks") -> DataFrame:
     """One row per block."""
-    return pages.select(id_column, F.explode(blocks).alias("b")).select(
+    texts = F.filter(F.col(blocks), lambda b: b["container"] >= -1)
+    return pages.select(id_column, F.explode(texts).alias("b")).select(
         id_column, F.col("b.container"), F.col("b.pos"), F.col("b.tag"), F.col("b.text")
     )
 
 
 def page_content(pages: DataFrame) -> DataFrame:
-    """Add ``content`` from ``blocks`` and the page's rule columns.
+    """Add ``content`` from ``blocks`` and the page's rule columns, and ``page_date``,
+    the raw date a page shows, null where the rule names none.
 
     ``pick`` is ``first``, ``longest`` or ``sufficient``; container -1 holds the
     blocks of the whole page, present only when no container gave any.
@@ -108,6 +110,6 @@ def page_content(pages: DataFrame) -> DataFrame:
         .otherwise(F.get(texts, F.lit(0))["text"])
     )
     marker = F.col("pdf_marker") & F.lower(F.col("url")).endswith(".pdf")
-    return pages.withColumn(
-        "content", F.when(marker, F.concat(F.lit("[PDF] "), F.col("url"))).otherwise(strip(text))
-    )
+    content = F.when(marker, F.concat(F.lit("[PDF] "), F.col("url"))).otherwise(strip(text))
+    stamp = F.get(in_container(F.col("blocks"), -2), F.lit(0))["text"]
+    return pages.withColumns({"content": content, "page_date": stamp})

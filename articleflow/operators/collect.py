@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from articleflow.functions.dates import resolve_undated
+from articleflow.functions.dates import resolve_undated, site_date
 from articleflow.functions.text import clean_one_line, content_type, make_uid, text_of
 from articleflow.operators.filters import (
     category_or_default, content_fallback, derived_abstract, in_lookback, is_skipped_link,
@@ -36,9 +36,12 @@ def accepted_items(
     link, published_on. Order of the steps: dates from headers, required fields,
     undated policy, repeats, age (stop or filter), known links, cap (0 is none). A listing sorted by date is
     newest first, so its age stop keeps the same rows as a filter does. The items are
-    read several times: pass a stored table, not pages still to be walked.
+    read several times: pass a stored table, not pages still to be walked. With
+    ``page_no``, counted from 1, list pages beyond a rule's ``page_cap`` are left out.
     """
     today = F.lit(now).cast("date")
+    if "page_no" in items.columns:
+        items = items.filter((F.col("page_cap") <= 0) | (F.col("page_no") <= F.col("page_cap")))
     header = F.col("date_headers") & (text_of(F.col("link")) == "")
     own = items.filter(~F.col("date_headers"))
     under = fill_down(
@@ -72,6 +75,21 @@ def without_known(items: DataFrame, history: DataFrame, pos: str) -> DataFrame:
     return rest.unionByName(ended).drop("_known")
 
 
+def with_page_date(items: DataFrame, now: Column | date) -> DataFrame:
+    """Let the date shown on an item's own page replace its listing date.
+
+    Where a rule reads one, an unreadable or absent date follows the undated policy;
+    an item whose page was not read keeps its listing date.
+    """
+    today = F.lit(now).cast("date")
+    shown = resolve_undated(
+        site_date(F.col("date_style"), F.col("page_date"), today), F.col("on_unparsed"), today
+    )
+    return items.withColumn(
+        "published_on", F.when(F.col("page_date").isNotNull(), shown).otherwise(F.col("published_on"))
+    )
+
+
 def as_articles(items: DataFrame, crawl_time: Column) -> DataFrame:
     """Accepted items with their ``content`` as article columns.
 

@@ -29,7 +29,7 @@ ITEMS = "array<struct<pos:int," + ",".join(f"{n}:string" for n in ITEM_FIELDS) +
 # Rule columns that only the article pages themselves need.
 CONTENT_RULES = [
     "containers", "block_tags", "loose_tags", "body_text", "remove", "tight_tags", "pick", "separator",
-    "min_length", "loose_min_length", "free_li", "trim", "drop_pattern",
+    "min_length", "loose_min_length", "free_li", "trim", "drop_pattern", "detail_date",
 ]
 
 
@@ -62,7 +62,10 @@ def _containers(root: dom.Node, rule: dict, skip: set) -> list[dom.Node]:
 
 
 def page_blocks(html: str | None, rule: dict) -> list[dict]:
-    """Text blocks of one page; container -1 when no container gave any."""
+    """Text blocks of one page; container -1 when no container gave any.
+
+    A rule with a date of its own for pages has it last, in container -2.
+    """
     root = dom.parse(html or "")
     skip = set(dom.select(root, rule["remove"])) if rule["remove"] else set()
     tight = set(rule["tight_tags"].split(","))
@@ -85,6 +88,10 @@ def page_blocks(html: str | None, rule: dict) -> list[dict]:
         body = dom.first(root, "body")
         if body is not None:
             add(-1, body)
+    if rule["detail_date"]:
+        stamp = dom.first(root, rule["detail_date"])
+        text = stamp.text("") if stamp is not None else ""
+        out.append({"container": -2, "pos": len(out), "tag": "date", "text": text})
     return out
 
 
@@ -154,7 +161,9 @@ def with_rules(pages: DataFrame, rules: list[dict] | None = None) -> DataFrame:
 
 def extract_blocks(pages: DataFrame) -> DataFrame:
     """Add ``blocks`` to pages that carry their rule columns. Remove known pages first."""
-    columns = ["containers", "block_tags", "loose_tags", "body_text", "remove", "tight_tags", "pick"]
+    columns = [
+        "containers", "block_tags", "loose_tags", "body_text", "remove", "tight_tags", "pick", "detail_date",
+    ]
     return _map_pages(pages, columns, page_blocks, "blocks", BLOCKS, BLOCK_ROW)
 
 
@@ -180,4 +189,4 @@ def resolve_items(items: DataFrame, today: Column) -> DataFrame:
             "title": clean_one_line(F.col("title")),
             "abstract": clean_one_line(F.col("abstract")),
         }
-    ).drop("date_style", "base_url", "directory")
+    ).drop("base_url", "directory")

@@ -16,7 +16,7 @@ RULE_SCHEMA = (
     "tight_tags string, pick string, separator string, min_length int, loose_min_length int, "
     "free_li boolean, trim boolean, drop_pattern string, pdf_marker boolean, "
     "abstract_mode string, fallback_chain string, needs_title boolean, date_headers boolean, "
-    "skip_documents boolean, drop_known boolean, seen_limit int"
+    "skip_documents boolean, drop_known boolean, seen_limit int, page_cap int, detail_date string"
 )
 
 _DEFAULTS = {
@@ -27,7 +27,7 @@ _DEFAULTS = {
     "separator": "\n\n", "min_length": 1, "loose_min_length": 1, "free_li": False, "trim": False,
     "drop_pattern": "", "pdf_marker": False, "abstract_mode": "listing", "fallback_chain": "",
     "needs_title": False, "date_headers": False, "skip_documents": False, "drop_known": False,
-    "seen_limit": 0,
+    "seen_limit": 0, "page_cap": 0, "detail_date": "",
 }
 
 # The job order of the sources.
@@ -50,7 +50,7 @@ SITE_RULES = [
         "[class*=advert],[class*=breadcrumb],[class*=cookies]",
     },
     {
-        "source": "imf", "needs_title": True, "drop_known": True, "seen_limit": 30,
+        "source": "imf", "needs_title": True, "page_cap": 50, "drop_known": True, "seen_limit": 30,
         "entity": "IMF", "category": "news", "item": "atomic-result",
         "item_date": "atomic-text[value]@value", "item_title": "a[href*=/news/articles/]",
         "item_link": "a[href*=/news/articles/]", "item_abstract": "[class*=excerpt]",
@@ -59,7 +59,7 @@ SITE_RULES = [
         "pick": "sufficient", "separator": " ",
     },
     {
-        "source": "tcmb", "needs_title": True, "entity": "土耳其", "category": "press_releases",
+        "source": "tcmb", "needs_title": True, "page_cap": 50, "entity": "土耳其", "category": "press_releases",
         "base_url": "https://www.tcmb.gov.tr", "item": "div.block-collection-box",
         "item_date": "div.collection-tag", "item_title": "a.collection-title",
         "item_link": "a.collection-title", "date_style": "numeric", "sort_by_date": True, "cap": 0,
@@ -67,7 +67,7 @@ SITE_RULES = [
         "separator": " ", "abstract_mode": "prefix300",
     },
     {
-        "source": "cbr", "needs_title": True, "entity": "俄罗斯", "category": "news", "base_url": "https://www.cbr.ru",
+        "source": "cbr", "needs_title": True, "page_cap": 50, "entity": "俄罗斯", "category": "news", "base_url": "https://www.cbr.ru",
         "item": "div.news", "item_date": "div.news_date", "item_title": "a.news_title",
         "item_link": "a.news_title", "item_category": "div.news_category",
         "date_style": "day_month_year", "sort_by_date": True, "cap": 0,
@@ -135,6 +135,7 @@ SITE_RULES = [
         "source": "weiyang", "entity": "未央", "category": "international",
         "base_url": "https://www.weiyangx.com", "item": ".wyt-tag-post",
         "item_date": ".wyt-tag-post-info-meta span:first-child", "item_title": "h4",
+        "detail_date": ".uk-margin-remove.uk-text-small span",
         "item_link": "a", "item_abstract": ".wyt-tag-post-info-brief", "date_style": "relative",
         "on_unparsed": "today", "containers": ".wyt-single-output", "block_tags": "p,h2,h3",
         "remove": "div[uk-grid],.wyt-single-author,.wyt-single-tag,p[class*=uk-text-small]",

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from articleflow.operators import blocks as B
-from articleflow.operators.collect import accepted_items, as_articles
+from articleflow.operators.collect import accepted_items, as_articles, with_page_date
 from articleflow.operators.filters import apply_undated_policy
 from articleflow.operators.ordered import fill_down, take_while
 from articleflow.session import settle
@@ -173,6 +173,9 @@ def test_items_become_articles(spark):
     found = items(spark, "tcmb", html).withColumn("content", F.lit(" c" * 200))
     row = as_articles(accepted_items(found, NOW), F.lit("2024-01-31 08:00:00")).first()
     assert (row["url"], row["category"], row["published_at"]) == ("https://www.tcmb.gov.tr/x", "press_releases", "2024-01-31")
+    paged = found.withColumn("page_no", F.col("page_id") + 49)
+    assert accepted_items(paged, NOW).count() == 1
+    assert accepted_items(paged.withColumn("page_no", F.lit(51)), NOW).count() == 0
     assert row["abstract"] == "c " * 149 + "c" and row["content_type"] == "html" and row["entity"] == "土耳其"
 
 
@@ -184,3 +187,15 @@ def test_known_links_end_a_listing(spark):
     assert [r["title"] for r in kept.collect()] == ["t0", "t1"]
     gap = history.filter("url <> 'https://x/news/articles/20'")
     assert accepted_items(found, NOW, history=gap).count() == 10
+
+
+def test_date_shown_on_the_page(spark):
+    page = "<div class='uk-margin-remove uk-text-small'><span>{}</span></div><div class='wyt-single-output'><p>text</p></div>"
+    df = spark.createDataFrame(
+        [(1, "weiyang", "u", page.format("2024-01-30")), (2, "weiyang", "u", page.format("?")), (3, "mas", "u", "<p>x</p>")],
+        "page_id bigint, source string, url string, html string",
+    )
+    read = B.page_content(pages.extract_blocks(pages.with_rules(df)))
+    dated = with_page_date(read.withColumn("published_on", F.lit(date(2024, 1, 2))), NOW)
+    got = [(r["page_id"], str(r["published_on"]), r["content"]) for r in dated.orderBy("page_id").collect()]
+    assert got == [(1, "2024-01-30", "text"), (2, "2024-01-31", "text"), (3, "2024-01-02", "")]
