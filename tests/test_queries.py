@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from articleflow.plans import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,13 +20,13 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare.compare(spark, con, SF, name).startswith("same")
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_flagship(spark):
