@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from articleflow.llm import simhash
-from articleflow.llm.common import table
+from articleflow.llm import decontaminate, language, simhash
+from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,54 @@ def query(name: str, sql: str | None = None):
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (bucket("doc_id", 5) == 0).alias("held_out"))
+    model = language.fit(docs.where("not held_out"))
+    return language.predict(docs, model, keep=["doc_id", "held_out"])
+
+
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    "op4_decontaminate",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+    b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+    wins AS (
+        SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS s
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+    ),
+    places AS (
+        SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM wins))
+    ),
+    found AS (SELECT p.r, p.i, p.n, q.item FROM places p JOIN wins q ON p.n = q.n AND p.s = q.s),
+    words AS (
+        SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT r, i, n FROM found))
+        GROUP BY r
+    ),
+    items AS (
+        SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY r
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+    """,
+)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return hits.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.size("hit_runs") > 0).alias("contaminated"),
+    )
