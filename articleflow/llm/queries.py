@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import decontaminate, language, simhash
+from articleflow.llm import decontaminate, language, quality, simhash
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
@@ -79,3 +79,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (F.size("hit_runs") > 0).alias("contaminated"),
     )
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model, keep=["doc_id"])
