@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import decontaminate, language, quality, simhash
+from articleflow.llm import decontaminate, language, quality, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
@@ -86,3 +86,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, model, keep=["doc_id"])
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (bucket("doc_id", 5) == 0).alias("held_out")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out)
+    labels = table(spark, sf_dir, "labels").where(bucket("doc_id", 5) != 0)
+    model = toxicity.fit(docs.where("not held_out"), labels)
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"]).drop("toxic_passages")
