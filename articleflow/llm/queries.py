@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import decontaminate, language, quality, simhash, toxicity
+from articleflow.llm import bpe, decontaminate, language, quality, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
@@ -95,3 +96,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(bucket("doc_id", 5) != 0)
     model = toxicity.fit(docs.where("not held_out"), labels)
     return toxicity.score(docs, model, keep=["doc_id", "held_out"]).drop("toxic_passages")
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode(docs, vocabulary, bpe.build_lexicon(docs, vocabulary), keep=["doc_id"])
