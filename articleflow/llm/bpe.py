@@ -34,8 +34,8 @@ MEMO = 200_000
 COUNTED = 400_000
 # Fixed: white space as the vocabulary's normaliser and splitter understand it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Below this code point NFC changes nothing that is already one character.
-SIMPLE = 0x250
+# Below this code point NFC changes nothing and lower case stays below or is no letter.
+SIMPLE = 0x180
 _NONE = 1 << 30
 _COMPLEX = re.compile(f"[^\x00-{chr(SIMPLE - 1)}]")
 
