@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import bpe, decontaminate, language, quality, simhash, toxicity
+from articleflow.llm import archive, bpe, decontaminate, language, quality, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
@@ -103,3 +103,30 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(docs, vocabulary, bpe.build_lexicon(docs, vocabulary), keep=["doc_id"])
+
+
+@query(
+    "op1_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS r FROM pages),
+    s AS (
+        SELECT *, sha1(html) AS hex, strlen(html) AS n,
+               first_value(r) OVER w AS first_row, first_value(page_id) OVER w AS first_page
+        FROM p WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST, r)
+    ),
+    bits AS (
+        SELECT *, list_transform(range(0, 32), lambda i:
+            ((16 * (instr('0123456789abcdef', hex[(i * 5) // 4 + 1]) - 1)
+              + (CASE WHEN (i * 5) // 4 + 2 <= 40 THEN instr('0123456789abcdef', hex[(i * 5) // 4 + 2]) - 1 ELSE 0 END))
+              >> (3 - (i * 5) % 4)) & 31) AS fives
+        FROM s
+    )
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(fives, lambda v: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v + 1]), '') AS payload_digest,
+           CASE WHEN r = first_row THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN r <> first_row THEN first_page END AS refers_to
+    FROM bits
+    """,
+)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.archive(spark, table(spark, sf_dir, "pages")).drop("url", "record_id", "date")
