@@ -23,6 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from articleflow.llm.files import Output
 from articleflow.session import settle, work_dir
 
 # Bytes read and unpacked at a time.
@@ -50,29 +51,6 @@ def member(content: bytes) -> bytes:
     return pack.compress(content) + pack.flush()
 
 
-class Output:
-    """A file that takes its name when closed without error."""
-
-    def __init__(self, path: str):
-        self.fs, self.place = fs.FileSystem.from_uri(path)
-        self.fs.create_dir(self.place.rsplit("/", 1)[0], recursive=True)
-        self.part = f"{self.place}.{uuid.uuid4().hex[:8]}.part"
-        self.out = self.fs.open_output_stream(self.part)
-
-    def __enter__(self) -> Output:
-        return self
-
-    def write(self, content: bytes) -> None:
-        self.out.write(content)
-
-    def __exit__(self, kind, *_) -> None:
-        self.out.close()
-        if kind is None:
-            self.fs.move(self.part, self.place)
-        else:
-            self.fs.delete_file(self.part)
-
-
 class Input:
     """Unpacked bytes of a file of gzip members (or a plain file), read as needed."""
 

@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 from tokenizers.normalizers import NFC
 
 from articleflow.llm.common import add_columns
-from articleflow.llm.transducer import Transducer, compile_words, map_shared, write_shared
+from articleflow.llm.files import Output
+from articleflow.llm.transducer import Transducer, compile_words, map_shared
 from articleflow.session import work_dir
 
 # Words in the transducer; words that a task remembers, and words it counts before passing them on.
@@ -180,7 +181,8 @@ def build_lexicon(df: DataFrame, path: str, text: str = "text", size: int = LEXI
     rows = word_counts(df, path, text).orderBy(F.desc("n"), "word").limit(size).collect()
     vocabulary = Vocabulary(path)
     place = f"{work_dir(df.sparkSession, 'lexicon')}/words.bin"
-    write_shared(place, compile_words({r.word.encode(): vocabulary.merge(r.word) for r in rows}))
+    with Output(place) as out:
+        out.write(compile_words({r.word.encode(): vocabulary.merge(r.word) for r in rows}))
     return place
 
 

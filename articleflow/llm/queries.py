@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import archive, bpe, decontaminate, language, quality, simhash, toxicity
+from articleflow.llm import archive, bpe, decontaminate, language, quality, repeats, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
@@ -130,3 +130,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archive(spark, table(spark, sf_dir, "pages")).drop("url", "record_id", "date")
+
+
+@query("op6_repeats")
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs, keep=["doc_id"], outputs="digest")

@@ -16,15 +16,6 @@ from pyarrow import fs
 _HEAD = 5
 
 
-def write_shared(path: str, content: bytes) -> None:
-    """Write to the shared folder; the name appears only when the file is complete."""
-    system, place = fs.FileSystem.from_uri(path)
-    system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(f"{place}.part") as out:
-        out.write(content)
-    system.move(f"{place}.part", place)
-
-
 def map_shared(path: str) -> memoryview:
     """The file's bytes: mapped if the shared folder is mounted, else read into memory."""
     if urlparse(path).scheme in ("", "file"):
