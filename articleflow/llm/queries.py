@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import archive, bpe, decontaminate, language, quality, repeats, simhash, toxicity
+from articleflow.llm import archive, bpe, decontaminate, language, lm, quality, repeats, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure
 
@@ -136,3 +136,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.remove_repeats(docs, keep=["doc_id"], outputs="digest")
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = bucket("doc_id", 10) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"), (~held_out).alias("train"))
+    return lm.score(docs, "train", keep=["doc_id", "held_out"]).drop("bits_per_byte")
