@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import archive, bpe, decontaminate, language, lm, quality, repeats, simhash, toxicity
+from articleflow.llm import archive, bpe, decontaminate, language, lm, quality, repeats, rollup, simhash, toxicity
 from articleflow.llm.common import bucket, table
-from articleflow.session import configure
+from articleflow.session import configure, settle, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +143,46 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = bucket("doc_id", 10) == 0
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"), (~held_out).alias("train"))
     return lm.score(docs, "train", keep=["doc_id", "held_out"]).drop("bits_per_byte")
+
+
+_COUNTS = r"""
+    WITH d AS (
+        SELECT doc_id, source, lang, coalesce(text, '') AS text,
+               array_to_string(list_transform(list_filter(list_zip(l, range(1, len(l) + 1)), lambda x: list_position(l, x[1]) = x[2]), lambda x: x[1]), chr(10)) AS once
+        FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+    ),
+    v AS (SELECT unnest([1, 2]) AS k),
+    c AS (
+        SELECT doc_id, source, lang, text, 'words-' || k AS version,
+               len(regexp_extract_all(text, CASE WHEN k = 1 THEN '[^\x20\x09-\x0D]+' ELSE '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]' END)) AS n,
+               len(regexp_extract_all(once, CASE WHEN k = 1 THEN '[^\x20\x09-\x0D]+' ELSE '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]' END)) AS r
+        FROM d, v
+    ),
+    kept AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first_id FROM c)
+    SELECT source, lang, version, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(r) AS BIGINT) AS n_tokens
+    FROM kept WHERE doc_id = first_id OR first_id IS NULL GROUP BY ALL
+"""
+
+
+@query("op8_rollup", _COUNTS)
+def op8_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; exact copies are deleted but for the smallest id; of the others,
+    those with repeated lines are counted anew without them; the deletes come a second time."""
+    once = F.array_join(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n")), "\n")
+    docs = table(spark, sf_dir, "documents")
+    counts = [rollup.counted(F.col("text"), v).alias(f"n{i}") for i, v in enumerate(rollup.VERSIONS)]
+    again = [rollup.counted(F.col("once"), v).alias(f"r{i}") for i, v in enumerate(rollup.VERSIONS)]
+    key = F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")
+    docs = settle(docs.select("doc_id", "source", "lang", "text", once.alias("once")).select("doc_id", "source", "lang", key, *counts, *again), "counted")
+    before = {v: F.col(f"n{i}") for i, v in enumerate(rollup.VERSIONS)}
+    after = {v: F.col(f"r{i}") for i, v in enumerate(rollup.VERSIONS)}
+    first = docs.groupBy("key").agg(F.min("doc_id").alias("first_id"))
+    known = docs.join(first, "key")
+    copy = F.coalesce(F.coalesce(F.col("doc_id") != F.col("first_id"), F.lit(True)) & F.col("first_id").isNotNull(), F.lit(False))
+    changed = F.array(*before.values()) != F.array(*after.values())
+    root = work_dir(spark, "rollup")
+    rollup.commit(rollup.inserts(docs, before), root, 1)
+    rollup.commit(rollup.deletes(known.where(copy), before), root, 2)
+    rollup.commit(rollup.revisions(known.where(~copy & changed), before, after), root, 3)
+    rollup.commit(rollup.deletes(known.where(copy), before), root, 2)
+    return rollup.totals(spark, root)
