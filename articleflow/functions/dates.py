@@ -12,7 +12,7 @@ import calendar
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from articleflow.functions.text import WORD, bind, strip, text_of
+from articleflow.functions.text import WORD, WS, bind, strip, text_of
 
 FULL = [m.lower() for m in calendar.month_name[1:]]
 ABBR = [m.lower() for m in calendar.month_abbr[1:]]
@@ -20,7 +20,11 @@ _FULL = "(" + "|".join(FULL) + ")"
 _ABBR = "(" + "|".join(ABBR) + ")"
 _ANY = "(" + "|".join(FULL + ABBR) + ")"
 _LEFT, _RIGHT = f"(?<![{WORD}])", f"(?![{WORD}])"
-_TIME = r"(?:[T\s]+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)?)?"
+_TIME = r"(?:[T\s]+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)?(?:\s*([AaPp])\.?[Mm]\.?(?![A-Za-z]))?)?"
+
+
+_BLANKS = f"[{WS}]+"
+_YEAR_LAST = r"(?i)^([a-z]{3,9})\s+(\d{1,2})\s+(\d{1,2}:\d{2}(?::\d{2})?)(\s+[A-Z]{1,5}|\s+[+-]\d{4})?\s+(\d{4})$"
 
 
 def month_number(name: Column) -> Column:
@@ -45,10 +49,15 @@ def shaped(text: Column, pattern: str, order: str, time_from: int = 0) -> Column
         h, mi, s = (
             F.coalesce(_part(text, pattern, time_from + i).cast("int"), F.lit(0)) for i in range(3)
         )
+        half = F.lower(_part(text, pattern, time_from + 3))
+        h = F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), F.lit(0)).otherwise(h)
     else:
         h = mi = s = F.lit(0)
+    # Two digits name a year as mail dates do.
+    y = part["y"].cast("int")
+    year = F.when(F.length(part["y"]) == 2, y + F.when(y < 70, 2000).otherwise(1900)).otherwise(y)
     stamp = F.try_make_timestamp_ntz(
-        part["y"].cast("int"), month, part["d"].cast("int"), h, mi, s.cast("decimal(16,6)")
+        year, month, part["d"].cast("int"), h, mi, s.cast("decimal(16,6)")
     )
     return F.when(text.rlike(pattern), stamp)
 
@@ -58,17 +67,20 @@ def feed_timestamp(raw: Column, to_utc: bool = False) -> Column:
 
     With ``to_utc`` a numeric offset is applied instead of dropped.
     """
-    s = strip(text_of(raw))
+    s = F.regexp_replace(strip(text_of(raw)), _BLANKS, " ")
     s = F.regexp_replace(s, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s*", "")
+    s = F.regexp_replace(s, r"(?i)\bsept\b", "Sep")
+    # The year behind the time, as C prints dates.
+    s = F.regexp_replace(s, _YEAR_LAST, "$1 $2, $5 $3$4")
     return bind(s, lambda t: _feed_timestamp(t, to_utc))
 
 
 def _feed_timestamp(s: Column, to_utc: bool) -> Column:
-    offset = r"\s*(?:Z|[A-Z]{1,5}|(?:GMT|UTC)?[+-]\d{2}:?\d{2})?$"
+    offset = r"\s*(?:Z|[A-Z]{1,5}|(?:GMT|UTC)?[+-]\d{2}(?::?\d{2})?)?$"
     full = [
         (rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}{offset}", "ymd"),
         (rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){_TIME}{offset}", "ymd"),
-        (rf"(?i)^(\d{{1,2}})[\s-]+{_ANY}\.?,?[\s-]+(\d{{4}}){_TIME}{offset}", "dMy"),
+        (rf"(?i)^(\d{{1,2}})[\s-]+{_ANY}\.?,?[\s-]+(\d{{4}}|\d{{2}}){_TIME}{offset}", "dMy"),
         (rf"(?i)^{_ANY}\.?\s+(\d{{1,2}}),?\s+(\d{{4}}){_TIME}{offset}", "Mdy"),
         (rf"^(0?[1-9]|1[0-2])[/.-](\d{{1,2}})[/.-](\d{{4}}){_TIME}{offset}", "mdy"),
         (rf"^(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}}){_TIME}{offset}", "dmy"),
@@ -79,10 +91,10 @@ def _feed_timestamp(s: Column, to_utc: bool) -> Column:
     )
     if not to_utc:
         return stamp
-    zone = r"([+-])(\d{2}):?(\d{2})$"
+    zone = r"([+-])(\d{2}):?(\d{2})?$"
     timed = s.rlike(r"\d:\d")
     minutes = F.coalesce(
-        _part(s, zone, 2).cast("int") * 60 + _part(s, zone, 3).cast("int"), F.lit(0)
+        _part(s, zone, 2).cast("int") * 60 + F.coalesce(_part(s, zone, 3).cast("int"), F.lit(0)), F.lit(0)
     )
     signed = F.when(_part(s, zone, 1) == "-", -minutes).otherwise(minutes)
     return F.when(timed, stamp - F.make_dt_interval(F.lit(0), F.lit(0), signed)).otherwise(stamp)
@@ -129,7 +141,8 @@ def text_date(text: Column) -> Column:
     Numeric year-first dates win over day-first ones, those over month names.
     The numeric forms are taken as written, without a calendar check.
     """
-    found = bind(bind(text_of(text), _around_years), _text_date)
+    single = F.regexp_replace(text_of(text), _BLANKS, " ")  # so the pieces below have bounded gaps
+    found = bind(bind(single, _around_years), _text_date)
     # Most texts name no such year: one cheap search decides before the others run.
     return F.when(text_of(text).rlike("202[2-9]"), found).otherwise(F.lit(""))
 
@@ -137,7 +150,7 @@ def text_date(text: Column) -> Column:
 def _text_date(s: Column) -> Column:
     ymd = f"{_LEFT}{_YEAR}{_SEP}{_MONTH}{_SEP}{_DAY}{_RIGHT}"
     dmy = f"{_LEFT}{_DAY}{_SEP}{_MONTH}{_SEP}{_YEAR}{_RIGHT}"
-    day, gap = r"(\d{1,2})(?:st|nd|rd|th)?", r"\s{1,3}"
+    day, gap = r"(\d{1,2})(?:st|nd|rd|th)?", r"\s"
     day_first = rf"(?i){_LEFT}{day}{gap}(?:of{gap})?{_ANY}\.?,?{gap}{_YEAR}{_RIGHT}"
     month_first = rf"(?i){_LEFT}{_ANY}\.?{gap}{day},?{gap}{_YEAR}{_RIGHT}"
     joined = [

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html import unescape as decoded
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,10 +133,10 @@ def cn_numeral(n: Column) -> Column:
 
 
 def _entity_map() -> Column:
-    pairs: list[Column] = []
-    for name, code in {**name2codepoint, "apos": 39}.items():
-        pairs += [F.lit(f"&{name};"), F.lit(chr(code))]
-    return F.create_map(*pairs)
+    """All names of the standard, the usual ones first, for they are searched in this order."""
+    usual = [f"{n};" for n in ["amp", "lt", "gt", "quot", "apos", "nbsp", *name2codepoint] if f"{n};" in html5]
+    names = dict.fromkeys([*usual, *(n for n in html5 if n.endswith(";"))])
+    return F.create_map(*[F.lit(x) for n in names for x in (f"&{n}", html5[n])])
 
 
 def _code_point(number: Column) -> Column:
@@ -148,7 +149,7 @@ def unescape(col: Column) -> Column:
 
 
 def _unescaped(col: Column) -> Column:
-    token = r"(?s)&#?[0-9A-Za-z]{1,10};|[^&]+|&"
+    token = r"(?s)&#?[0-9A-Za-z]{1,32};|[^&]+|&"
     named = _entity_map()
 
     def decode(t: Column) -> Column:
@@ -158,19 +159,25 @@ def _unescaped(col: Column) -> Column:
             F.nullif(dec, F.lit("")).cast("bigint"),
             F.conv(F.nullif(hexa, F.lit("")), 16, 10).cast("bigint"),
         )
+        # Numbers 128 to 159 stand for the characters that old pages mean by them.
+        old = F.get(F.array(*[F.lit(decoded(f"&#{n};")) for n in range(128, 160)]), (number - 128).cast("int"))
         ok = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         return F.when(
             t.startswith("&"),
-            F.coalesce(F.try_element_at(named, t), F.when(ok, _code_point(number)), t),
+            F.coalesce(F.try_element_at(named, t), F.when(number.between(128, 159), old), F.when(ok, _code_point(number)), t),
         ).otherwise(t)
 
     parts = F.transform(F.regexp_extract_all(col, F.lit(token), F.lit(0)), decode)
     return F.when(F.contains(col, F.lit("&")), F.array_join(parts, "")).otherwise(col)
 
 
+# Attributes up to the end of a tag; a quoted value may hold ``>``.
+_ATTRIBUTES = r"""(?:[\s/=]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++))?+)*+"""
+
+
 def html_text(html: Column) -> Column:
     """Markup out, text pieces joined by one space."""
     s = text_of(html)
     s = F.regexp_replace(s, r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>", " ")
-    s = F.regexp_replace(s, r"(?s)<!--.*?-->|<[!/?a-zA-Z][^>]*>", " ")
+    s = F.regexp_replace(s, rf"(?s)<!--.*?-->|</?[a-zA-Z][^\s/>]*+{_ATTRIBUTES}>|<[!/?a-zA-Z][^>]*>", " ")
     return clean_one_line(unescape(s))

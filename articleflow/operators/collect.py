@@ -35,7 +35,8 @@ def accepted_items(
     ``items`` are resolved listing rows with their rule columns: source, pos, title,
     link, published_on. Order of the steps: dates from headers, required fields,
     undated policy, repeats, age (stop or filter), known links, cap (0 is none). A listing sorted by date is
-    newest first, so its age stop keeps the same rows as a filter does. The items are
+    newest first, so its age stop keeps the same rows as a filter does. An entry without any date text
+    is skipped where a rule needs one; one with an unreadable date follows the undated policy. The items are
     read several times: pass a stored table, not pages still to be walked. With
     ``page_no``, counted from 1, list pages beyond a rule's ``page_cap`` are left out.
     """
@@ -51,11 +52,14 @@ def accepted_items(
     rows = own.unionByName(under).filter(
         (text_of(F.col("link")) != "")
         & (~F.col("needs_title") | (text_of(F.col("title")) != ""))
+        & ~(F.col("needs_date") & (text_of(F.col("date_raw")) == ""))
         & ~(F.col("skip_documents") & is_skipped_link(F.col("link"), F.col("title")))
     )
     dated = rows.withColumn("published_on", resolve_undated(F.col("published_on"), F.col("on_unparsed"), today))
     kept = dated.filter(F.col("published_on").isNotNull() | (F.col("on_unparsed") == "keep_raw"))
-    once = first_link_per_source(kept, "source", "link", pos)
+    # A site sorted by date offers its newest entry of a link first, wherever it stands on the page.
+    newest = F.when(F.col("sort_by_date"), F.unix_date("published_on")).desc_nulls_last()
+    once = first_link_per_source(kept, "source", "link", newest, pos)
     recent = in_lookback(F.col("published_on"), now, days) | F.col("published_on").isNull()
     stops = F.col("take_while") & ~F.col("sort_by_date")
     rows = take_while(once, ["source"], pos, recent, stops)

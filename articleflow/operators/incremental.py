@@ -47,10 +47,10 @@ def first_per_key(df: DataFrame, key: Column, pos: str) -> DataFrame:
     return _first_per_key(with_key(df, key, pos), pos).drop(_KEY)
 
 
-def first_link_per_source(df: DataFrame, source: str, link: str, pos: str) -> DataFrame:
-    """In-run repeats of a link within one source; the first position stays."""
-    order = W.partitionBy(source, link).orderBy(pos)
-    return df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n")
+def first_link_per_source(df: DataFrame, source: str, link: str, *order: str | Column) -> DataFrame:
+    """In-run repeats of a link within one source; the first by ``order`` stays."""
+    ranked = W.partitionBy(source, link).orderBy(*order)
+    return df.withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") == 1).drop("_n")
 
 
 def known_keys(history: DataFrame, column: str, stored: bool = False) -> DataFrame:
@@ -78,15 +78,37 @@ def _known(keyed: DataFrame, history: DataFrame, column: str, stored: bool = Fal
     return known_keys(history, column, stored).join(wanted, _KEY, "left_semi").distinct()
 
 
+HOT_ROWS = 100_000
+SPREAD = 64
+
+
+def spread_join(rows: DataFrame, few: DataFrame, keys: list[str], how: str, hot_rows: int | None = None) -> DataFrame:
+    """Join rows to a table with one row for each key, whatever share of the rows a key has.
+
+    Keys with more than ``hot_rows`` rows are counted first (partial sums, so no task sees the
+    rows of one). Their rows are spread over ``SPREAD`` join keys and only their row of
+    ``few`` is repeated; a key that is not hot has one row on the small side as before. At most
+    one key in ``hot_rows`` rows is hot, which bounds what is sent to all tasks.
+    """
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
+    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))).otherwise(F.lit(0))
+    left = rows.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    right = few.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
 def not_in_history(df: DataFrame, history: DataFrame, pos: str, by: str = "uid") -> DataFrame:
     """Drop rows whose key is in the history; rows with an empty key always stay."""
     keyed = with_key(df, F.col(by), pos)
-    return keyed.join(_known(keyed, history, by), _KEY, "left_anti").drop(_KEY)
+    return spread_join(keyed, _known(keyed, history, by), [_KEY], "left_anti").drop(_KEY)
 
 
 def in_history(df: DataFrame, history: DataFrame, pos: str, by: str = "url") -> DataFrame:
     keyed = with_key(df, F.col(by), pos)
-    return keyed.join(_known(keyed, history, by), _KEY, "left_semi").drop(_KEY)
+    return spread_join(keyed, _known(keyed, history, by), [_KEY], "left_semi").drop(_KEY)
 
 
 def mark_known(df: DataFrame, history: DataFrame, by: str, flag: str) -> DataFrame:
@@ -94,7 +116,7 @@ def mark_known(df: DataFrame, history: DataFrame, by: str, flag: str) -> DataFra
     keyed = df.withColumn(_KEY, F.col(by))
     known = _known(keyed, history, by).withColumn(flag, F.lit(True))
     return (
-        keyed.join(known, _KEY, "left").drop(_KEY)
+        spread_join(keyed, known, [_KEY], "left").drop(_KEY)
         .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
     )
 
@@ -146,10 +168,11 @@ def write_back(history: DataFrame, batch: DataFrame, pos: str, columns: list[str
     newest = batch.groupBy("uid").agg(
         F.max_by(F.struct(*columns), F.col(pos)).alias("_new")
     )
-    joined = history.join(newest, "uid", "left")
-    return joined.withColumns(
-        {c: F.coalesce(F.col("_new")[c], F.col(c)) for c in columns}
-    ).drop("_new")
+    named = text_of(F.col("uid")) != ""
+    joined = spread_join(history.filter(named), newest.filter(named), ["uid"], "left")
+    joined = joined.withColumns({c: F.coalesce(F.col("_new")[c], F.col(c)) for c in columns}).drop("_new")
+    # Rows without a uid have nothing to meet.
+    return joined.select(*history.columns).unionByName(history.filter(~named))
 
 
 def backfill_candidates(
@@ -170,10 +193,14 @@ def apply_backfill(history: DataFrame, updates: DataFrame, pos: str) -> DataFram
         .groupBy("url")
         .agg(F.min_by(F.struct("abstract", "content"), F.col(pos)).alias("_new"))
     )
-    joined = history.join(first, "url", "left")
-    return joined.withColumns(
+    # Only a row with a gap and a link can change; the rest of the history is not moved.
+    gap = (text_of(F.col("content")) == "") | (text_of(F.col("abstract")) == "")
+    open_rows = gap & (text_of(F.col("url")) != "")
+    joined = spread_join(history.filter(open_rows), first, ["url"], "left")
+    filled = joined.withColumns(
         {c: first_filled(F.col(c), F.col("_new")[c]) for c in ("abstract", "content")}
     ).drop("_new")
+    return filled.select(*history.columns).unionByName(history.filter(~open_rows))
 
 
 def pending_runs(requested: DataFrame, digests: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from articleflow.operators.incremental import spread_join
+
 CHUNK_BITS = 16
-SALTS = 64
 
 
 def _chunk(col: Column) -> Column:
@@ -94,20 +95,8 @@ def running(
     return out.drop("_c", *[f"_in_{m.name}" for m in measures])
 
 
-def join_per_key(df: DataFrame, stats: DataFrame, keys: list[str], spread: Column, how: str) -> DataFrame:
-    """Join one small row per key to all rows of the key.
-
-    The rows of a hot key are spread over ``SALTS`` join keys, and the small row is
-    repeated for each, so a shuffled join stays balanced. When ``stats`` is below
-    the broadcast threshold Spark skips the shuffle altogether.
-    """
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    right = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
-
 def _before_cut(df: DataFrame, cuts: DataFrame, keys: list[str], pos: str) -> DataFrame:
-    joined = join_per_key(df, cuts, keys, F.col(pos), "left")
+    joined = spread_join(df, cuts, keys, "left")
     return joined.filter(F.col("_cut").isNull() | (F.col(pos) < F.col("_cut"))).drop("_cut")
 
 

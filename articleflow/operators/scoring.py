@@ -14,9 +14,10 @@ Scorer = Callable[[list[str]], list[str | None]]
 def score(df: DataFrame, scorers: dict[str, Scorer], prompt: str = "prompt") -> DataFrame:
     """Add ``<name>_raw`` per scorer: its answer to the prompt, or null.
 
-    All scorers see the row in the same task, so their answers need no join. One that
-    raises gives null for its batch and does not disturb the others; retries belong
-    to the scorer.
+    All scorers see the row in the same task, so their answers need no join. Where one raises,
+    or answers a wrong number of prompts, it is asked again for each half, down to the prompt at
+    fault, which alone gives null: an answer does not depend on how rows fall into batches.
+    Retries belong to the scorer.
     """
     keep = [c for c in df.columns if c != prompt]
     types = dict(df.dtypes)
@@ -24,11 +25,18 @@ def score(df: DataFrame, scorers: dict[str, Scorer], prompt: str = "prompt") ->
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in keep], *[f"`{n}` string" for n in names]])
 
     def answers(fn: Scorer, prompts: list[str]) -> list[str | None]:
+        if not prompts:
+            return []
         try:
             out = list(fn(prompts))
         except Exception:
-            return [None] * len(prompts)
-        return out if len(out) == len(prompts) else [None] * len(prompts)
+            out = None
+        if out is not None and len(out) == len(prompts):
+            return out
+        if len(prompts) == 1:
+            return [None]
+        half = len(prompts) // 2
+        return answers(fn, prompts[:half]) + answers(fn, prompts[half:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

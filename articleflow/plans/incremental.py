@@ -13,6 +13,7 @@ from articleflow.plans.registry import query
 from articleflow.schema import ARTICLE_FIELDS, VERDICT_FIELDS
 from articleflow.session import work_dir
 from articleflow.sources import articles as A
+from articleflow.sources import tables
 from articleflow.sources.rules import SITE_RULES, rules_table
 from articleflow.streaming.ingest import ingest, load_batch
 
@@ -495,15 +496,19 @@ def batch_validation(spark, sf_dir):
     return A.validate_lines(lines, "line", "pos", 3)
 
 
-@query("stream_ingest", X.with_sql(RECENT_NEW.replace("uid NOT IN (SELECT uid FROM history)", "true"), canonical_sql("fresh").replace("SELECT pos, ", "SELECT ", 1)))
+@query("stream_ingest", X.with_sql(RECENT_NEW, canonical_sql("fresh").replace("SELECT pos, ", "SELECT ", 1)))
 def stream_ingest(spark, sf_dir):
-    """The documents as a stream of files into an empty history."""
-    schema = X.table(spark, sf_dir, "documents").schema
+    """The documents as a stream of several files into a history of several loads."""
     root = work_dir(spark, "stream-ingest")
-    raw = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    )
-    rows = X.as_articles(raw)
-    ingest(rows, f"{root}/history", f"{root}/checkpoint", "pos", lambda batch_id: X.NOW).awaitTermination()
-    stored = spark.read.parquet(f"{root}/history")
-    return stored.select(*ARTICLE_FIELDS)
+    stored = X.history(spark, sf_dir)
+    half = F.col("pos") % 2 == 0
+    tables.write_load(stored.filter(half), f"{root}/history", 0)
+    tables.write_load(stored.filter(~half), f"{root}/history", 42)
+    documents = X.table(spark, sf_dir, "documents")
+    lower, upper = documents.approxQuantile("doc_id", [0.3, 0.7], 0.01)
+    place = F.col("doc_id")
+    for part in (place < lower, (place >= lower) & (place < upper), place >= upper):
+        documents.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    raw = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+    ingest(X.as_articles(raw), f"{root}/history", f"{root}/checkpoint", "pos", lambda batch_id: X.NOW).awaitTermination()
+    return tables.read_history(spark, f"{root}/history").filter(F.col("run_id") != tables.LOADS).select(*ARTICLE_FIELDS)

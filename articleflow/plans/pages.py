@@ -22,8 +22,8 @@ LINKS = r"<a\s+[^>]*?href=[\"']([^\"']*)[\"']"
 
 
 def ruled_pages(spark, sf_dir, **changes):
-    landed = F.when(F.col("url").startswith("http"), F.lit("pages"))
-    p = X.table(spark, sf_dir, "pages").withColumn("source", landed)
+    # A page without an id has no source of its own and is read by the generic rule.
+    p = X.table(spark, sf_dir, "pages").withColumn("source", F.when(F.col("page_id").isNotNull(), F.lit("pages")))
     return pages.with_rules(p, [{**ARTICLE_RULE, **changes}])
 
 
@@ -192,7 +192,7 @@ def feed_documents(spark, sf_dir):
         F.lit("<item><title>"), escaped(F.col("title")), F.lit("</title><link>"),
         F.substring_index("url", ".example.com", -1), F.lit("</link><pubDate>"),
         F.date_format("published_on", "EEE, dd MMM yyyy"), F.lit(" 08:30:00 +0100</pubDate><description>&lt;p&gt;"),
-        F.col("pos").cast("string"), F.lit("&lt;/p&gt;</description></item>"),
+        escaped(F.col("content")), F.lit("&lt;/p&gt;</description></item>"),
     )
     grouped = a.groupBy("source", F.floor(F.col("pos") / 50).alias("no")).agg(
         F.array_join(
@@ -213,7 +213,7 @@ def feed_documents(spark, sf_dir):
         SELECT 'https://' || source || '.example.com/feed' AS feed_url, {one_line('title')} AS title,
                '/' || category || '/' || CAST(pos % 700 AS VARCHAR) AS link,
                strftime(published_on, '%a, %d %b %Y') || ' 08:30:00 +0100' AS date_raw,
-               '<p>' || CAST(pos AS VARCHAR) || '</p>' AS summary FROM staged""",
+               '<p>' || content || '</p>' AS summary FROM staged""",
     ),
 )
 def feed_items(spark, sf_dir):
@@ -229,7 +229,7 @@ def feed_items(spark, sf_dir):
         SELECT sha256('rss|' || url) AS uid, 'rss' AS source, entity,
                CASE WHEN length(source) = 4 THEN 'news' ELSE source END AS category,
                CAST(published_on AS VARCHAR) || ' 08:30:00' AS published_at, {one_line('title')} AS title,
-               url, CAST(pos AS VARCHAR) AS abstract, 'html' AS content_type
+               url, {one_line('content')} AS abstract, 'html' AS content_type
         FROM staged WHERE published_on >= DATE '2024-01-20'""",
     ),
 )
@@ -273,18 +273,19 @@ def site_items(spark, sf_dir):
     blank = F.col("pos") % 19 == 18
     return s.select(
         *[c for c in s.columns if c not in ("published_on", "raw_link", "title", *pages.CONTENT_RULES)],
-        F.when(F.col("pos") % 13 == 12, F.lit("soon")).otherwise(raw).alias("date_raw"),
+        F.when(F.col("pos") % 26 == 25, F.lit("")).when(F.col("pos") % 13 == 12, F.lit("soon")).otherwise(raw).alias("date_raw"),
         F.when(blank, F.lit("")).otherwise(F.col("title")).alias("title"), F.lit("").alias("abstract"),
         F.when(F.col("pos") % 23 == 22, F.lit("")).otherwise(F.col("raw_link")).alias("link"),
     )
 
 
 SITE_VALUES = ", ".join(
-    "({}, '{}', '{}', '{}', {}, {}, {}, {}, {}, {}, {})".format(
+    "({}, '{}', '{}', '{}', {}, {}, {}, {}, {}, {}, {}, {}, {})".format(
         i, r["source"], r.get("base_url", "") + r.get("directory", ""), r.get("on_unparsed", "drop"),
-        bool(r.get("needs_title")), bool(r.get("date_headers")), r.get("cap", 200),
+        bool(r.get("needs_title")), bool(r.get("date_headers")), r.get("cap", 0),
         r.get("take_while", True) and not r.get("sort_by_date", False),
         bool(r.get("skip_documents")), bool(r.get("drop_known")), r.get("seen_limit", 0),
+        bool(r.get("sort_by_date")), bool(r.get("needs_date")),
     )
     for i, r in enumerate(SITE_RULES)
 )
@@ -294,7 +295,7 @@ SITE_VALUES = ", ".join(
     "site_listing",
     X.with_sql(
         X.LISTING + f""",
-        rules(no, site, prefix, on_unparsed, needs_title, date_headers, cap, stops, skip_documents, drop_known, seen_limit) AS (VALUES {SITE_VALUES}),
+        rules(no, site, prefix, on_unparsed, needs_title, date_headers, cap, stops, skip_documents, drop_known, seen_limit, sorted, needs_date) AS (VALUES {SITE_VALUES}),
         raw AS (
           SELECT site AS source, pos, CASE WHEN pos % 19 = 18 THEN '' ELSE title END AS title,
                  CASE WHEN pos % 23 = 22 THEN '' ELSE prefix || '/item/' || CAST(pos % 700 AS VARCHAR) END AS link,
@@ -311,10 +312,10 @@ SITE_VALUES = ", ".join(
                          ELSE first_value(day) OVER (PARTITION BY source, grp ORDER BY pos) END AS d FROM headed),
         dated AS (
           SELECT *, CASE WHEN d IS NULL AND on_unparsed = 'today' THEN DATE '2024-01-31' ELSE d END AS published_on
-          FROM filled WHERE link <> '' AND (NOT needs_title OR title <> '')
+          FROM filled WHERE link <> '' AND (NOT needs_title OR title <> '') AND NOT (needs_date AND pos % 26 = 25)
             AND NOT (skip_documents AND regexp_matches(lower(title), 'annex|attachment|chart|figure|table'))),
         kept AS (SELECT * FROM dated WHERE published_on IS NOT NULL OR on_unparsed = 'keep_raw'),
-        once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, link ORDER BY pos) AS n FROM kept) x WHERE n = 1),
+        once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, link ORDER BY CASE WHEN sorted THEN published_on END DESC NULLS LAST, pos) AS n FROM kept) x WHERE n = 1),
         scanned AS (
           SELECT *, published_on IS NULL OR published_on >= DATE '2024-01-28' AS recent,
                  min(CASE WHEN published_on IS NULL OR published_on >= DATE '2024-01-28' THEN 1 ELSE 0 END)

@@ -25,11 +25,14 @@ P_SCOPE = SCOPE | frozenset("td th li div article section".split())
 SILENT = frozenset(("script", "style", "template"))
 
 
-# Tags, comments and declarations; attribute values may hold ``>``.
+# Tags, comments and declarations. A quoted value ends at its quote and may hold ``>``; a quote
+# elsewhere, or one that is never closed, is an ordinary character. Nothing is tried twice.
+_NAME = r"[^\s/>=][^\s/>=]*+"
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)"
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/=]++|{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+)>", re.DOTALL
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
 # Elements whose content is text only, up to their end tag.
 _RAW = ("script", "style", "textarea", "title")
 _RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in _RAW}
@@ -82,51 +85,68 @@ class Node:
         return sep.join(out)
 
 
-def _inside(at: Node, tags: Set[str], stop: Set[str]) -> Node | None:
-    """The nearest open element of ``tags``, not looking beyond ``stop``."""
-    node = at
-    while node.parent is not None and node.tag not in stop:
-        if node.tag in tags:
-            return node
-        node = node.parent
-    return None
+class _Open:
+    """The open elements: where the next one goes, and how many there are of each tag."""
+
+    def __init__(self, root: Node):
+        self.at = root
+        self.count: dict[str, int] = {}
+
+    def push(self, node: Node) -> None:
+        self.count[node.tag] = self.count.get(node.tag, 0) + 1
+        self.at = node
+
+    def close(self, tags: Set[str], stop: Set[str] = frozenset()) -> None:
+        """End the nearest open element of ``tags``, not looking beyond ``stop``. A tag that is not
+        open costs nothing, and every element is passed once when it is ended."""
+        if not any(self.count.get(t) for t in tags):
+            return
+        node = self.at
+        while node.parent is not None and node.tag not in tags:
+            if node.tag in stop:
+                return
+            node = node.parent
+        if node.parent is None or node.tag in stop:
+            return
+        while self.at is not node.parent:
+            self.count[self.at.tag] -= 1
+            self.at = self.at.parent
 
 
 def parse(html: str) -> Node:
-    root = at = Node("", "", None)
-    end = 0
+    root = Node("", "", None)
+    opened = _Open(root)
+    end, last = 0, html.rfind(">")
     while True:
-        mark = _MARKUP.search(html, end)
+        # Behind the last ``>`` no tag can end.
+        mark = _MARKUP.search(html, end) if end <= last or html.startswith("<!--", end) else None
         if mark is None:
             if end < len(html):
-                at.items.append(html[end:])
+                opened.at.items.append(html[end:])
             return root
         if mark.start() > end:
-            at.items.append(html[end : mark.start()])
+            opened.at.items.append(html[end : mark.start()])
         end = mark.end()
         if mark[2] is None:
             continue
         tag = mark[2].lower()
         if mark[1]:
-            open_one = _inside(at, {tag}, frozenset())
-            if open_one is not None:
-                at = open_one.parent
+            opened.close({tag})
             continue
         if tag in BLOCK:
-            open_p = _inside(at, {"p"}, P_SCOPE)
-            at = open_p.parent if open_p is not None else at
+            opened.close({"p"}, P_SCOPE)
         if tag in ENDS:
-            ended = _inside(at, ENDS[tag], SCOPE)
-            at = ended.parent if ended is not None else at
-        node = Node(tag, mark[3], at)
-        at.items.append(node)
+            opened.close(ENDS[tag], SCOPE)
+        node = Node(tag, mark[3], opened.at)
+        opened.at.items.append(node)
         if tag in _RAW:
             stop = _RAW_END[tag].search(html, end)
             close = stop.start() if stop else len(html)
             node.items.append(html[end:close])
-            end, at = close, node
+            end = close
+            opened.push(node)
         elif tag not in VOID and not mark[3].endswith("/"):
-            at = node
+            opened.push(node)
 
 
 _PART = re.compile(

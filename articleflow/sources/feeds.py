@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.dates import entry_date
 from articleflow.functions.text import (
-    absolute_url, clean_one_line, content_type, first_filled, html_text, make_uid, text_of,
+    absolute_url, clean_one_line, content_type, first_filled, html_text, make_uid, strip, text_of,
 )
-from articleflow.operators.ordered import join_per_key
+from articleflow.operators.incremental import spread_join
 
 ITEM_SCHEMA = (
     "title string, link string, pubDate string, published string, `dc:date` string, "
-    "updated string, created string, description string, summary string"
+    "updated string, created string, description string, summary string, guid string, `content:encoded` string"
 )
 _ITEM = "array<struct<" + ", ".join(
     part.strip().replace(" string", ":string") for part in ITEM_SCHEMA.split(",")
@@ -119,11 +119,13 @@ def _first_date(item: Column, names: list[str]) -> Column:
 
 
 def _rss_entry(item: Column) -> Column:
+    """Title, link (or a permanent id that is one), first date, and summary or full text."""
+    guid = strip(text_of(item["guid"]))
     return F.struct(
         text_of(item["title"]).alias("title"),
-        text_of(item["link"]).alias("link"),
+        first_filled(strip(text_of(item["link"])), F.when(guid.startswith("http"), guid)).alias("link"),
         _first_date(item, ["pubDate", "published", "dc:date", "updated", "created"]).alias("date_raw"),
-        first_filled(item["summary"], item["description"]).alias("summary"),
+        first_filled(item["summary"], item["description"], item["content:encoded"]).alias("summary"),
     )
 
 
@@ -177,7 +179,11 @@ def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int)
     url is cleaned. Entries without any date are dropped.
     """
     day = F.to_date(F.substring("published_at", 1, 10))
-    joined = join_per_key(entries, registry, ["feed_url"], F.struct("title", "link"), "inner")
+    # A stream can't count its keys first; its batches are joined as they come.
+    if entries.isStreaming:
+        joined = entries.join(registry, "feed_url")
+    else:
+        joined = spread_join(entries, registry, ["feed_url"], "inner")
     link = absolute_url(F.col("link"), F.col("base_url"))
     search = F.concat(text_of(F.col("title")), F.lit(" "), text_of(F.col("summary")))
     keep = [c for c in entries.columns if c not in ("title", "link", "date_raw", "summary")]

@@ -16,7 +16,7 @@ from articleflow.functions.dates import site_date
 from articleflow.functions.text import clean_one_line, prefixed_url
 from articleflow.schema import BLOCKS
 from articleflow.sources import dom
-from articleflow.sources.rules import rules_table
+from articleflow.sources.rules import GENERIC_RULE, SITE_RULES, rules_table
 
 BLOCK_ROW = pa.struct(
     [("container", pa.int32()), ("pos", pa.int32()), ("tag", pa.string()), ("text", pa.string())]
@@ -150,13 +150,22 @@ def _map_pages(
     return pages.mapInArrow(run, schema)
 
 
+# Rules that are sent to every task; a larger table is joined by its size.
+SENT_RULES = 10_000
+
+
 def with_rules(pages: DataFrame, rules: list[dict] | None = None) -> DataFrame:
-    """Attach each page's rule; pages of a source without one are left out.
+    """Attach each page's rule; a source without one gets the generic rule.
 
     Rules are configuration, counted before they are sent to every task, so that a
     source with most of the pages is not gathered for this join.
     """
-    return pages.join(F.broadcast(rules_table(pages.sparkSession, rules)), "source")
+    table = rules_table(pages.sparkSession, rules)
+    few = len(SITE_RULES if rules is None else rules) <= SENT_RULES
+    generic = rules_table(pages.sparkSession, [GENERIC_RULE]).drop("source").first().asDict()
+    found = pages.join(F.broadcast(table) if few else table, "source", "left")
+    kinds = dict(table.dtypes)
+    return found.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(kinds[c])) for c, v in generic.items()})
 
 
 def extract_blocks(pages: DataFrame) -> DataFrame:

@@ -16,18 +16,18 @@ RULE_SCHEMA = (
     "tight_tags string, pick string, separator string, min_length int, loose_min_length int, "
     "free_li boolean, trim boolean, drop_pattern string, pdf_marker boolean, "
     "abstract_mode string, fallback_chain string, needs_title boolean, date_headers boolean, "
-    "skip_documents boolean, drop_known boolean, seen_limit int, page_cap int, detail_date string"
+    "skip_documents boolean, drop_known boolean, seen_limit int, page_cap int, detail_date string, needs_date boolean"
 )
 
 _DEFAULTS = {
     "base_url": "", "directory": "", "item": "", "item_date": "", "item_title": "", "item_link": "",
     "item_abstract": "", "item_category": "", "date_style": "feed", "on_unparsed": "drop",
-    "take_while": True, "sort_by_date": False, "cap": 200, "containers": "", "block_tags": "p",
+    "take_while": True, "sort_by_date": False, "cap": 0, "containers": "", "block_tags": "p",
     "loose_tags": "", "body_text": False, "remove": "", "tight_tags": "", "pick": "first",
     "separator": "\n\n", "min_length": 1, "loose_min_length": 1, "free_li": False, "trim": False,
     "drop_pattern": "", "pdf_marker": False, "abstract_mode": "listing", "fallback_chain": "",
     "needs_title": False, "date_headers": False, "skip_documents": False, "drop_known": False,
-    "seen_limit": 0, "page_cap": 0, "detail_date": "",
+    "seen_limit": 0, "page_cap": 0, "detail_date": "", "needs_date": False,
 }
 
 # The job order of the sources.
@@ -50,7 +50,7 @@ SITE_RULES = [
         "[class*=advert],[class*=breadcrumb],[class*=cookies]",
     },
     {
-        "source": "imf", "needs_title": True, "page_cap": 50, "drop_known": True, "seen_limit": 30,
+        "source": "imf", "needs_title": True, "drop_known": True, "seen_limit": 30,
         "entity": "IMF", "category": "news", "item": "atomic-result",
         "item_date": "atomic-text[value]@value", "item_title": "a[href*=/news/articles/]",
         "item_link": "a[href*=/news/articles/]", "item_abstract": "[class*=excerpt]",
@@ -59,7 +59,7 @@ SITE_RULES = [
         "pick": "sufficient", "separator": " ",
     },
     {
-        "source": "tcmb", "needs_title": True, "page_cap": 50, "entity": "土耳其", "category": "press_releases",
+        "source": "tcmb", "needs_title": True, "entity": "土耳其", "category": "press_releases",
         "base_url": "https://www.tcmb.gov.tr", "item": "div.block-collection-box",
         "item_date": "div.collection-tag", "item_title": "a.collection-title",
         "item_link": "a.collection-title", "date_style": "numeric", "sort_by_date": True, "cap": 0,
@@ -67,7 +67,7 @@ SITE_RULES = [
         "separator": " ", "abstract_mode": "prefix300",
     },
     {
-        "source": "cbr", "needs_title": True, "page_cap": 50, "entity": "俄罗斯", "category": "news", "base_url": "https://www.cbr.ru",
+        "source": "cbr", "needs_title": True, "entity": "俄罗斯", "category": "news", "base_url": "https://www.cbr.ru",
         "item": "div.news", "item_date": "div.news_date", "item_title": "a.news_title",
         "item_link": "a.news_title", "item_category": "div.news_category",
         "date_style": "day_month_year", "sort_by_date": True, "cap": 0,
@@ -123,7 +123,7 @@ SITE_RULES = [
         "block_tags": "p,h4,h3,div,strong", "fallback_chain": "abstract",
     },
     {
-        "source": "bcra", "entity": "阿根廷", "category": "news",
+        "source": "bcra", "needs_date": True, "entity": "阿根廷", "category": "news",
         "base_url": "https://www2.bcra.gob.ar", "directory": "/Noticias/", "item": "tbody tr",
         "item_date": "span.fecha-tabla", "item_title": "a", "item_link": "a",
         "date_style": "slash_month_first", "on_unparsed": "today",
@@ -175,13 +175,8 @@ GENERIC_RULE = {
 }
 
 
-MAX_RULES = 10_000
-
-
 def rules_table(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
-    """Rules as a DataFrame, refused beyond ``MAX_RULES``: they are sent to every task."""
-    if rules is not None and len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; join a table of that size instead")
+    """Rules as a DataFrame. Nothing is capped unless a rule says so."""
     rows = [{**_DEFAULTS, **r} for r in (SITE_RULES if rules is None else rules)]
     names = [part.split()[0] for part in RULE_SCHEMA.split(", ")]
     # From Arrow the rows become a local relation, whose size the planner knows.

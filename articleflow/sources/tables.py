@@ -1,8 +1,10 @@
 """History, batch, evaluated and digest tables.
 
-Each load of the history has a partition of its own (``load_id``). A repeated load
-replaces its own partition, and a verdict write-back rewrites only the partitions
-that hold rows of the batch. CSV and JSON outputs go to a new path.
+Each load of the history has a partition of its own, named by the run that wrote it and its
+number in that run (``run_id``, ``load_id``), so runs that number their loads alike don't meet.
+A repeated load replaces its own partition, also when it has no rows left, and a verdict
+write-back rewrites only the partitions that hold rows of the batch. CSV and JSON outputs go
+to a new path.
 """
 
 from __future__ import annotations
@@ -11,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from articleflow.operators.incremental import align_columns, write_back
+from articleflow.functions.text import text_of
+from articleflow.operators.incremental import align_columns, apply_backfill, write_back
 from articleflow.schema import EVALUATED, VERDICT_FIELDS
 
-HISTORY = T.StructType([*EVALUATED.fields, T.StructField("load_id", T.LongType())])
+HISTORY = T.StructType([*EVALUATED.fields, T.StructField("run_id", T.StringType()), T.StructField("load_id", T.LongType())])
+LOADS = "loads"  # the run of loads written without a stream
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -25,16 +29,17 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def create_history(spark: SparkSession, path: str) -> None:
     """An empty history where there is none yet."""
     empty = spark.createDataFrame([], HISTORY)
-    empty.write.mode("append").partitionBy("load_id").parquet(path)
+    empty.write.mode("append").partitionBy("run_id", "load_id").parquet(path)
 
 
-def write_load(rows: DataFrame, path: str, load_id: int) -> None:
-    """Write one load; writing it again replaces it."""
-    (
-        align_columns(rows).withColumn("load_id", F.lit(load_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id").parquet(path)
-    )
+def _replace(rows: DataFrame, folder: str) -> None:
+    """Make ``rows``, even none, the whole content of one partition's folder."""
+    rows.write.mode("overwrite").parquet(folder)
+
+
+def write_load(rows: DataFrame, path: str, load_id: int, run_id: str = LOADS) -> None:
+    """Write one load; writing it again replaces it, also by nothing."""
+    _replace(align_columns(rows), f"{path}/run_id={run_id}/load_id={load_id}")
 
 
 def save_bucketed_history(history: DataFrame, table: str, path: str, buckets: int) -> None:
@@ -47,11 +52,7 @@ def save_bucketed_history(history: DataFrame, table: str, path: str, buckets: in
 
 def write_batch(rows: DataFrame, path: str, run_date: str) -> None:
     """The new batch of a run date, replaced as a whole when the run is repeated."""
-    (
-        align_columns(rows).withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date").parquet(path)
-    )
+    _replace(align_columns(rows), f"{path}/run_date={run_date}")
 
 
 def write_back_history(
@@ -67,12 +68,25 @@ def write_back_history(
         part = history.filter(F.col("load_id").isin(load_ids))
     else:
         judged = batch.select("uid").distinct()
-        touched = history.join(judged, "uid", "left_semi").select("load_id").distinct()
-        part = history.join(touched, "load_id", "left_semi")
-    updated = write_back(part, batch, pos, VERDICT_FIELDS).select(*[f.name for f in HISTORY.fields])
+        touched = history.join(judged, "uid", "left_semi").select("run_id", "load_id").distinct()
+        part = history.join(touched, ["run_id", "load_id"], "left_semi")
+    _rewrite(write_back(part, batch, pos, VERDICT_FIELDS), path)
+
+
+def backfill_history(spark: SparkSession, path: str, updates: DataFrame, pos: str) -> None:
+    """Fill gaps of the stored history from refetched rows, rewriting the touched loads only."""
+    history = read_history(spark, path)
+    gaps = history.filter((text_of(F.col("content")) == "") | (text_of(F.col("abstract")) == ""))
+    touched = gaps.join(updates.select("url").distinct(), "url", "left_semi").select("run_id", "load_id").distinct()
+    _rewrite(apply_backfill(history.join(touched, ["run_id", "load_id"], "left_semi"), updates, pos), path)
+
+
+def _rewrite(rows: DataFrame, path: str) -> None:
+    """Replace the loads that ``rows`` are the whole content of."""
     (
-        updated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id").parquet(path)
+        rows.select(*[f.name for f in HISTORY.fields])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", "load_id").parquet(path)
     )
 
 
@@ -90,8 +104,4 @@ def write_evaluated(df: DataFrame, path: str) -> None:
 
 
 def write_digest(lines: DataFrame, path: str, run_date: str) -> None:
-    (
-        lines.withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date").parquet(path)
-    )
+    _replace(lines, f"{path}/run_date={run_date}")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articleflow.operators.filters import lookback
@@ -19,33 +21,47 @@ def load_batch(
 ) -> DataFrame:
     """Recent, first-seen, unknown rows of a batch, as canonical articles.
 
-    ``batch`` needs ``published_on`` and ``uid``; without a position its rows count as
-    read. Texts are cleaned last, so only rows that stay pay for it.
+    ``batch`` needs ``published_on`` and ``uid``; without a position its rows are ordered by
+    their content, so the same batch gives the same rows again. Texts are cleaned last, so
+    only rows that stay pay for it.
     """
     if pos not in batch.columns:
-        batch = batch.withColumn(pos, F.monotonically_increasing_id())
+        batch = batch.withColumn(pos, F.xxhash64(*batch.columns))
     recent = lookback(batch, now, days)
     return canonicalize(new_rows(recent, history, pos, stored=stored), keep=[pos])
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The run that a checkpoint belongs to; kept beside its own files, so a new checkpoint is a
+    new run."""
+    path = f"{checkpoint}/run"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException:
+        spark.range(1).select(F.lit(uuid.uuid4().hex)).write.text(path)
+        return spark.read.text(path).first()[0]
+
+
 def ingest(
     stream: DataFrame, history_path: str, checkpoint: str, pos: str,
     clock: Callable[[int], Column | date], days: int = 1, **writer: str,
 ):
     """Start the ingest over what is there and return the query.
 
-    A micro-batch writes the history partition of its own id and looks up the
-    partitions before it, so a repeated batch gives the same rows again. ``clock``
-    maps a batch id to the time its window is measured from.
+    A micro-batch writes the history partition of its own run and id, and looks up all
+    others but those of later batches of this run, so a repeated batch gives the same rows
+    again and what other runs and loads stored stays. ``clock`` maps a batch id to the time its window is
+    measured from.
     """
     spark = stream.sparkSession
     create_history(spark, history_path)
+    run_id = run_of(spark, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         history = read_history(batch.sparkSession, history_path)
-        earlier = history.filter(F.col("load_id") < batch_id)
+        earlier = history.filter((F.col("run_id") != run_id) | (F.col("load_id") < batch_id))
         rows = load_batch(batch, earlier, clock(batch_id), pos, days, stored=True)
-        write_load(rows, history_path, batch_id)
+        write_load(rows, history_path, batch_id, run_id)
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -13,7 +13,9 @@ FEED = {
     "Wed, 31 Jan 2024 10:00:05 +0900": "2024-01-31 10:00:05", "31 Jan 2024 10:00 GMT": "2024-01-31 10:00:00",
     "2024-01-31T10:00:05Z": "2024-01-31 10:00:05", "2024-01-31T10:00:05.123+02:00": "2024-01-31 10:00:05",
     "2024-01-31": "2024-01-31 00:00:00", "January 31, 2024": "2024-01-31 00:00:00", "20240131": "2024-01-31 00:00:00",
-    "Sept 5, 2024": "", "2024-02-30": "", "soon": "", "": "", "01/31/2024": "2024-01-31 00:00:00",
+    "Sept 5, 2024": "2024-09-05 00:00:00", "Thu, 1 Feb 2024 9:05 PM": "2024-02-01 21:05:00", "1 Feb 2024 12:30 am": "2024-02-01 00:30:00",
+    "01 Feb 24 10:00:00 GMT": "2024-02-01 10:00:00", "1 Feb 99": "1999-02-01 00:00:00", "1 Sept 2024": "2024-09-01 00:00:00", "2024-02-01T10:00:00+01": "2024-02-01 10:00:00",
+    "Thu Feb  1 10:00:00 UTC 2024": "2024-02-01 10:00:00", "Thu Feb 1 10:00:00 2024": "2024-02-01 10:00:00", "10\u00a0May\u00a02024": "2024-05-10 00:00:00", "2024-02-30": "", "soon": "", "": "", "01/31/2024": "2024-01-31 00:00:00",
     "31/01/2024": "2024-01-31 00:00:00", "Tuesday 05-Mar-2024 23:59:59 EST": "2024-03-05 23:59:59",
 }
 
@@ -38,7 +40,7 @@ TEXT = {
     "May 2024": "", "5 March 2024": "2024-03-05", "the 5th of March 2024": "2024-03-05",
     "Mar. 5, 2024 and 6 Apr 2025": "2025-04-06", "31 February 2024": "", "2024": "", "": "",
     "year 2023, 2024-13-01, 2024-12-01": "2024-12-01", "年2024-03-05": "", "2022 5 May 2023": "2023-05-05",
-    "2024-01-012025-02-03": "", "x" * 50 + " 7 May 2024": "2024-05-07", "12 May 20245": "",
+    "2024-01-012025-02-03": "", "5      March\u00a0\u00a0 \n  2024": "2024-03-05", "x" * 50 + " 7 May 2024": "2024-05-07", "12 May 20245": "",
 }
 
 

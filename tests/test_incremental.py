@@ -141,3 +141,35 @@ def test_pending_runs(spark):
     asked = spark.createDataFrame([("d1",), ("d2",)], "run_date string")
     done = spark.createDataFrame([("d1", "l"), ("d1", "m")], "run_date string, line string")
     assert rows(I.pending_runs(asked, done), "run_date") == [("d2",)]
+
+
+def test_hot_keys_are_spread(spark):
+    """A key with a third of the rows does not meet in one task, and others are not repeated."""
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    few = rows.select("k").distinct().withColumn("v", F.lit(1))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        joined = I.spread_join(rows, few, ["k"], "left", hot_rows=1000)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert joined.count() == 30_000 and joined.filter("v is null").count() == 0
+        assert max(r["count"] for r in sizes) < 7000
+        assert I.spread_join(rows, few.filter("k = 0"), ["k"], "left_anti", hot_rows=1000).count() == 20_000
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_only_the_prompt_at_fault_has_no_answer(spark):
+    from articleflow.operators.scoring import score
+
+    def picky(prompts):
+        if any(p == "77" for p in prompts):
+            raise ValueError("77")
+        return list(prompts)
+
+    df = spark.range(500).select("id", F.col("id").cast("string").alias("prompt"))
+    got = score(df.coalesce(1), {"a": picky}).collect()
+    assert [r.id for r in got if r.a_raw is None] == [77] and len(got) == 500

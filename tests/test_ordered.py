@@ -154,6 +154,6 @@ def test_newest_first(spark):
 def test_spread_join_finds_every_row(spark):
     big = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
     small = spark.createDataFrame([("hot", 1), ("4", 2)], "k string, x int")
-    joined = O.join_per_key(big, small, ["k"], F.col("id"), "left")
+    joined = O.spread_join(big, small, ["k"], "left", hot_rows=100)
     assert joined.count() == 1000
     assert joined.filter("x = 1").count() == 334 and joined.filter("x = 2").count() == 1

@@ -74,7 +74,7 @@ def test_loads_are_idempotent_and_write_back_touches_its_loads(spark, tmp_path,
     assert again.count() == 0
 
     def files(load_id):
-        return sorted(p.name for p in (tmp_path / "history" / f"load_id={load_id}").glob("*.parquet"))
+        return sorted(p.name for p in (tmp_path / "history" / "run_id=loads" / f"load_id={load_id}").glob("*.parquet"))
 
     first, second, stored = files(0), files(1), history.count()
     newest = history.filter("load_id = 1").select("uid", F.lit(1).alias("pos"), *[F.lit("TRUE").alias(c) for c in VERDICT_FIELDS])
@@ -107,11 +107,45 @@ def test_stream_equals_batches_and_replays_are_no_ops(spark, tmp_path):
     whole = load_batch(collected(spark, 0, 30).union(collected(spark, 20, 60)), stored.limit(0), NOW, "pos")
     assert stored.select("load_id").distinct().count() == 2
     assert sorted(r["uid"] for r in stored.collect()) == sorted(r["uid"] for r in whole.collect())
-    # A lost checkpoint replays the batches: the partitions are replaced by the same rows.
-    before = sorted(tuple(r) for r in stored.select("uid", "load_id").collect())
+    # A lost checkpoint is a new run: it finds everything known and changes nothing.
+    before = sorted(tuple(r) for r in stored.select("uid", "run_id", "load_id").collect())
     replay = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
     ingest(replay, path, str(tmp_path / "cp2"), "pos", lambda batch_id: NOW).awaitTermination()
-    assert sorted(tuple(r) for r in T.read_history(spark, path).select("uid", "load_id").collect()) == before
+    assert sorted(tuple(r) for r in T.read_history(spark, path).select("uid", "run_id", "load_id").collect()) == before
+
+
+def test_stream_keeps_what_other_loads_stored(spark, tmp_path):
+    landing, path = str(tmp_path / "in"), str(tmp_path / "history")
+    for load_id, (lo, hi) in ((0, (0, 10)), (42, (10, 20))):
+        T.write_load(I.canonicalize(collected(spark, lo, hi)), path, load_id)
+    collected(spark, 15, 30).coalesce(1).write.parquet(landing)
+    stream = spark.readStream.schema(spark.read.parquet(landing).schema).parquet(landing)
+    ingest(stream, path, str(tmp_path / "cp"), "pos", lambda batch_id: NOW).awaitTermination()
+    stored = T.read_history(spark, path)
+    assert stored.filter("run_id = 'loads'").count() == 20
+    uids = [r.uid for r in stored.collect()]
+    assert len(uids) == len(set(uids)) == 20 + sum(1 for i in range(20, 30) if i % 3 < 2)
+
+
+def test_an_empty_rerun_leaves_nothing(spark, tmp_path):
+    rows = I.canonicalize(collected(spark, 0, 5))
+    for n, part in ((5, rows), (0, rows.limit(0))):
+        T.write_load(part, str(tmp_path / "history"), 7)
+        T.write_batch(part, str(tmp_path / "batch"), "2024-01-31")
+        T.write_digest(part.select("title"), str(tmp_path / "digest"), "2024-01-31")
+        counts = [T.read_history(spark, str(tmp_path / "history")).count(), spark.read.parquet(str(tmp_path / "batch")).count(), spark.read.parquet(str(tmp_path / "digest")).count()]
+        assert counts == [n, n, n]
+
+
+def test_stored_backfill_touches_loads_with_gaps_only(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for load_id in (0, 1):
+        rows = I.canonicalize(collected(spark, 10 * load_id, 10 * load_id + 10))
+        T.write_load(rows.withColumn("content", F.when(F.col("url").endswith("/12"), "").otherwise(F.col("content"))), path, load_id)
+    updates = spark.createDataFrame([("https://x/12", "a", "new", 1), ("https://x/3", "a", "other", 2)], "url string, abstract string, content string, pos int")
+    T.backfill_history(spark, path, updates.filter("pos = 1"), "pos")
+    got = {r.url: r.content for r in T.read_history(spark, path).collect()}
+    assert len(got) == 20 and got["https://x/12"] == "new" and got["https://x/3"] != "other"
 
 
 def test_results_settle_in_the_shared_folder(spark):

@@ -90,3 +90,13 @@ def test_numerals(spark):
 )
 def test_html_text(spark, html, want):
     assert one(spark, T.html_text(F.col("v")), v=html) == want
+
+
+def test_references_and_tags_like_the_page_walker(spark):
+    from html import unescape
+
+    from articleflow.functions.text import html_text
+
+    texts = ["&comma;&lsquor;x&#146;y&#x93;", "&CounterClockwiseContourIntegral;", "&nosuchname; &amp;lt;", "a<p title='x > y'>b</p>c", "1 < 2 &#128;"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(html_text(F.col("t"))).collect()]
+    assert got == [unescape(texts[0]), unescape(texts[1]), unescape(texts[2]), "a b c", "1 < 2 \u20ac"]
