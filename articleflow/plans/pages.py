@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.text import clean_one_line
 from articleflow.operators import blocks as B
-from articleflow.operators.collect import accepted_items
+from articleflow.operators.collect import accepted_items, as_articles, listing_position
 from articleflow.operators.filters import in_lookback
-from articleflow.operators.incremental import not_in_history
+from articleflow.operators.incremental import first_per_key, new_rows, not_in_history, spread_join
 from articleflow.plans import fixtures as X
 from articleflow.plans.dates import PLAIN
 from articleflow.plans.incremental import one_line
@@ -370,3 +370,45 @@ def new_page_content(spark, sf_dir):
     fresh = not_in_history(p, known, "page_id", by="url")
     done = B.page_content(pages.extract_blocks(fresh))
     return done.select("page_id", "url", clean_one_line(F.col("content")).alias("content"))
+
+
+@query(
+    "page_articles",
+    X.with_sql(
+        COUNTED,
+        f"""
+        SELECT sha256('pages|' || p.url) AS uid, 'pages' AS source, 'generic' AS entity, 'news' AS category,
+               '2024-01-31' AS published_at, CAST(p.page_id AS VARCHAR) AS title, p.url, '' AS abstract,
+               coalesce(c.content, '') AS content
+        FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS n FROM pages WHERE url <> '') p LEFT JOIN (
+          SELECT page_id, {one_line("string_agg(text, ' ' ORDER BY pos)")} AS content FROM counted GROUP BY page_id) c
+          ON p.page_id = c.page_id
+        WHERE p.n = 1 AND p.url NOT IN (SELECT url FROM pages WHERE length(html) > 3000)""",
+    ),
+)
+def page_articles(spark, sf_dir):
+    """From landed list pages to new articles: links, known ones out, pages, rows to load.
+
+    The list pages name all pages of the table, fifty on each; only pages that are still
+    wanted are walked.
+    """
+    p = X.table(spark, sf_dir, "pages").filter("url <> ''")
+    rule = {**ARTICLE_RULE, "on_unparsed": "today"}
+    link = F.replace(F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    entry = F.concat(F.lit('<li><a href="'), link, F.lit('">'), F.col("page_id").cast("string"), F.lit("</a></li>"))
+    lists = p.groupBy(F.floor(F.col("page_id") / 50).alias("page_no")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", entry.alias("x")))), lambda e: e["x"]), "").alias("items")
+    )
+    html = F.concat(F.lit("<nav><ul>"), "items", F.lit("</ul></nav>")).alias("html")
+    listed = pages.with_rules(lists.select("page_no", F.when(F.col("page_no") >= 0, F.lit("pages")).alias("source"), html), [rule])
+    items = pages.resolve_items(pages.extract_items(listed), F.lit(X.NOW))
+    items = items.withColumn("pos", listing_position(F.col("page_no"), F.col("pos")))
+    accepted = accepted_items(settle(items, "listed"), X.NOW).withColumn("url", F.col("link"))
+    known = X.table(spark, sf_dir, "pages").filter(F.length("html") > 3000).select("url")
+    fresh = settle(not_in_history(accepted, known, "pos", by="url"), "fresh")
+    first = first_per_key(p, F.col("url"), "page_id").select("url", "html", F.lit("pages").alias("_site"))
+    wanted = spread_join(first, fresh.select("url").distinct(), ["url"], "left_semi").withColumnRenamed("_site", "source")
+    walked = B.page_content(pages.extract_blocks(pages.with_rules(wanted.withColumn("source", F.when(F.col("url") != "", F.col("source"))), [rule])))
+    rows = as_articles(spread_join(fresh, walked.select("url", "content"), ["url"], "left"), F.lit("2024-01-31 08:00:00"))
+    new = new_rows(rows, X.history(spark, sf_dir), "pos")
+    return new.select("uid", "source", "entity", "category", "published_at", "title", "url", "abstract", "content")
