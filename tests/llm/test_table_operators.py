@@ -201,7 +201,7 @@ def test_probabilities_add_up():
     mixer = mixing.learn_mixer(counts, tokens, topics, np.ones(12))
     singles = [bytes([x]) for x in range(256) if x != 10]
     # All one-byte tokens, and the end: parts of a distribution over all tokens.
-    p = 10 ** mixing.log10_probabilities(counts, mixer, [*singles, mixing.END], np.zeros(256, np.int64))
+    p = 10 ** mixing.Model(counts, mixer).log10_probabilities([*singles, mixing.END], np.zeros(256, np.int64))
     assert 0.1 < p.sum() <= 1.0
 
 
