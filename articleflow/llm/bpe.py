@@ -12,7 +12,6 @@ import hashlib
 import json
 import re
 import sys
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -22,19 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers.normalizers import NFC
+from tokenizers import Regex
+from tokenizers.normalizers import NFC, Lowercase, Sequence
+from tokenizers.pre_tokenizers import Split
 
-from articleflow.llm.common import add_columns
+from articleflow.llm.common import add_columns, most_frequent
 from articleflow.llm.files import Output
 from articleflow.llm.transducer import Transducer, compile_words, map_shared
-from articleflow.session import work_dir
+from articleflow.session import settle, work_dir
 
 # Words in the transducer; words that a task remembers, and words it counts before passing them on.
-LEXICON = 1 << 16
-MEMO = 200_000
-COUNTED = 400_000
-# Fixed: white space as the vocabulary's normaliser and splitter understand it.
-SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LEXICON = 1 << 17
+MEMO = 80_000
+COUNTED = 250_000
 # Below this code point NFC changes nothing and lower case stays below or is no letter.
 SIMPLE = 0x180
 _NONE = 1 << 30
@@ -52,17 +51,19 @@ def byte_characters() -> list[str]:
 
 
 @cache
-def characters(kind: str, below: int = sys.maxunicode + 1) -> str:
-    """The characters of one general category, as ranges for a bracket expression."""
-    marks = [unicodedata.category(chr(c))[0] == kind for c in range(below)] + [False]
-    cuts = [c for c, (a, b) in enumerate(zip([False, *marks], marks, strict=False)) if a != b]
-    return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(cuts[::2], cuts[1::2], strict=True))
+def characters(name: str, below: int) -> str:
+    """The characters of a class such as ``\\s``, as ranges for a bracket expression; asked of the
+    library, whose Unicode version decides."""
+    every = "".join(map(chr, [*range(min(below, 0xD800)), *range(0xE000, below)]))
+    found = Split(Regex(f"{name}+"), "removed", invert=True).pre_tokenize_str(every)
+    return "".join(f"{re.escape(x[0])}-{re.escape(x[-1])}" for x, _ in found)
 
 
-def _splitter(pattern: str, below: int = sys.maxunicode + 1) -> re.Pattern:
+@cache
+def _splitter(pattern: str, below: int) -> re.Pattern:
     # Every one of these classes stands inside brackets there.
-    for name, members in ((r"\p{L}", characters("L", below)), (r"\p{N}", characters("N", below)), (r"\s", SPACE)):
-        pattern = pattern.replace(name, members)
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        pattern = pattern.replace(name, characters(name, below))
     return re.compile(pattern)
 
 
@@ -83,15 +84,15 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         split = next(p for p in content["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
-        self.simple, self.any = _splitter(split, SIMPLE), _splitter(split)
-        self.compose = NFC().normalize_str
+        self.split = split
+        self.simple = _splitter(split, SIMPLE)
+        self.normal = Sequence([NFC(), Lowercase()]).normalize_str
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
     def words(self, text: str) -> list[str]:
         """Words of a text without special strings; blanks only part them, so runs can stay."""
         if _COMPLEX.search(text):
-            # Character by character, so a final sigma is no special case.
-            return self.any.findall(self.compose(text).replace("\u03a3", "\u03c3").lower())
+            return _splitter(self.split, sys.maxunicode + 1).findall(self.normal(text))
         return self.simple.findall(text.lower())
 
     def pieces(self, text: str) -> list[str]:
@@ -177,8 +178,8 @@ def word_counts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def build_lexicon(df: DataFrame, path: str, text: str = "text", size: int = LEXICON) -> str:
-    """Compile the ``size`` most frequent words of all texts; the file's place in the shared folder."""
-    rows = word_counts(df, path, text).orderBy(F.desc("n"), "word").limit(size).collect()
+    """Compile the most frequent words of all texts, at most ``size``; the file's place in the shared folder."""
+    rows = most_frequent(settle(word_counts(df, path, text), "words"), "n", size).collect()
     vocabulary = Vocabulary(path)
     place = f"{work_dir(df.sparkSession, 'lexicon')}/words.bin"
     with Output(place) as out:
