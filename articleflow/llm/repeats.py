@@ -404,6 +404,8 @@ def remove_repeats(df: DataFrame, text: str = "text", keep: list[str] | None = N
     runs = found.where(F.col("kind") == RUN).select("chunk", "row", F.shiftright("at", 32).alias("first"), F.col("at").bitwiseAND((1 << 32) - 1).alias("last"))
     chunks = found.where(F.col("kind") == CHUNK).select("chunk", F.lit(-1).alias("row"), F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("last"))
     everything = runs.union(_repeated_windows(found, folder, text, limit)).union(chunks)
+    # The decisions are small beside the texts they open: their size must not set the number of tasks.
+    tasks = max(1, min(chunks.count(), 10_000))
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     types = [to_arrow_type(f.dataType) for f in fields]
 
@@ -429,4 +431,4 @@ def remove_repeats(df: DataFrame, text: str = "text", keep: list[str] | None = N
         new = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), types, strict=True)]
         return pa.Table.from_arrays([batch.column(c) for c in keep] + new, names=[f.name for f in schema])
 
-    return everything.groupBy("chunk").applyInArrow(cut, schema)
+    return everything.repartition(tasks, "chunk").groupBy("chunk").applyInArrow(cut, schema)
