@@ -512,3 +512,13 @@ def stream_ingest(spark, sf_dir):
     raw = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
     ingest(X.as_articles(raw), f"{root}/history", f"{root}/checkpoint", "pos", lambda batch_id: X.NOW).awaitTermination()
     return tables.read_history(spark, f"{root}/history").filter(F.col("run_id") != tables.LOADS).select(*ARTICLE_FIELDS)
+
+
+@query("batch_table", X.with_sql(RECENT_NEW, canonical_sql("fresh").replace("SELECT pos, ", "SELECT ", 1)))
+def batch_table(spark, sf_dir):
+    """The new batch of a run date, written, replaced by a second run, and read back."""
+    path = work_dir(spark, "batch-table")
+    rows = load_batch(X.articles(spark, sf_dir), X.history(spark, sf_dir), X.NOW, "pos")
+    tables.write_batch(rows.filter("pos % 2 = 0"), path, "2024-01-31")
+    tables.write_batch(rows, path, "2024-01-31")
+    return spark.read.parquet(path).select(*ARTICLE_FIELDS)
