@@ -139,18 +139,19 @@ def lexicon(rows: DataFrame) -> tuple[dict[bytes, float], float]:
     return {bytes(r.unit): float(r.odds) for r in got}, sum(r.toxic for r in got) / n1
 
 
-def _law(score: np.ndarray, n: np.ndarray, values: list[float], gap: float, words: float) -> tuple[float, float]:
-    """Rate and scale of the extreme-value law of the best segment among non-toxic texts.
+def _law(score: np.ndarray, n: np.ndarray, values: dict[float, int], gap: float, words: float) -> tuple[float, float]:
+    """Rate and scale of the extreme-value law of the best segment among non-toxic texts, from the
+    counts of their positive token scores.
 
     The rate solves E[exp(rate * token score)] = 1 over their tokens; the scale makes the
     expected number of texts with any segment equal to the observed one.
     """
     if not values:
         return 1.0, 1e-3
-    v = np.array(values)
+    v, times = np.array(list(values)), np.array(list(values.values()), float)
 
     def excess(rate: float) -> float:
-        return (np.exp(rate * v).sum() + (words - len(v)) * np.exp(-rate * gap)) / words - 1
+        return ((times * np.exp(rate * v)).sum() + (words - times.sum()) * np.exp(-rate * gap)) / words - 1
 
     low, high = 1e-6, 1.0
     while excess(high) < 0 and high < 64:
@@ -184,18 +185,22 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             out = []
             for t in raw(column):
                 w = words_of(t)
-                out.append((len(w), [s for _, _, s in m.find(w, memo)], [s for s in map(memo.__getitem__, w) if s > 0][:200]))
-            return list(zip(*out, strict=True)) if out else [[], [], []]
+                hits = Counter(s for s in map(memo.__getitem__, w) if s > 0)
+                out.append((len(w), [s for _, _, s in m.find(w, memo)], list(hits), list(hits.values())))
+            return list(zip(*out, strict=True)) if out else [[], [], [], []]
 
         return work
 
     reals = T.ArrayType(T.DoubleType())
-    fields = [T.StructField("n", T.LongType()), T.StructField("found", reals), T.StructField("hits", reals)]
+    fields = [T.StructField("n", T.LongType()), T.StructField("found", reals), T.StructField("hits", reals), T.StructField("times", T.ArrayType(T.LongType()))]
     got = add_columns(rows, fields, make, ["text"], ["h", "y"]).orderBy("h", "y", "n").limit(2 * per_label).collect()
     clean = [r for r in got if r.y == 0]
     best = np.array([max(r.found, default=0.0) for r in clean])
     n = np.array([max(r.n, 1) for r in clean], float)
-    rate, scale = _law(best, n, [s for r in clean for s in r.hits], gap, float(n.sum()) if len(n) else 1.0)
+    values: Counter[float] = Counter()
+    for r in clean:
+        values.update(dict(zip(r.hits, r.times, strict=True)))
+    rate, scale = _law(best, n, values, gap, float(n.sum()) if len(n) else 1.0)
     model = Model(words, gap, rate, scale, Logistic(np.zeros(3), 0.0))
     y = np.array([r.y for r in got], float)
     x = np.array([model.features([(0, 0, s) for s in r.found], r.n) for r in got]).reshape(-1, 3)
