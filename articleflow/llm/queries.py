@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import archive, bpe, chat, decontaminate, language, lm, quality, repeats, rollup, simhash, toxicity
+from articleflow.llm import archive, bpe, chat, decontaminate, dialogue, language, lm, quality, repeats, rollup, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure, settle, work_dir
 
@@ -225,3 +225,85 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"),
         "order_valid",
     )
+
+
+def _add(x: str, cost: str, letter: str) -> str:
+    """A path, its cost in nine digits before its letters, one edit longer."""
+    return f"(lpad(CAST(CAST(left({x}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({x}, 10) || '{letter}')"
+
+
+def _when(kind: str, x: str, letter: str) -> str:
+    """The path ``x`` with the turn kept if its role is of ``kind``, or given another role."""
+    if letter == "R":
+        return f"CASE WHEN NOT goes THEN {_add(x, '2 + late', 'R')} END"
+    return f"CASE WHEN NOT goes AND kind = '{kind}' THEN {_add(x, 'late', 'K')} END"
+
+
+_INSERTED = f"""least(x2, {_add("x0", "2", "I")}, {_add("x1", "2", "I")}, {_add("x3", "2", "I")}) AS y2,
+        least(x3, {_add("x2", "2", "I")}, {_add("x0", "4", "II")}, {_add("x1", "4", "II")}) AS y3"""
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT))),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@query(
+    "op11_dialogue",
+    rf"""
+    WITH RECURSIVE given AS (
+        SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+    ),
+    fated AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS fate FROM given),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+               CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM fated, range(2) AS copy(n) WHERE fate <> 0 AND (n = 0 OR fate = 3)
+    ),
+    placed AS (
+        SELECT *, row_number() OVER w AS i, left(role, 1) AS kind, lag(left(role, 1)) OVER w AS kind_before, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+        FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    ),
+    turns AS (
+        SELECT *, said = '' OR seen AS goes,
+               CASE WHEN said <> '' AND NOT seen AND right(said, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS late
+        FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM placed)
+    ),
+    paths AS (
+        SELECT conv_id, 0 AS i, '000000000' AS x0, CAST(NULL AS VARCHAR) AS x1, CAST(NULL AS VARCHAR) AS x2, CAST(NULL AS VARCHAR) AS x3
+        FROM (SELECT DISTINCT conv_id FROM conversations)
+        UNION ALL
+        SELECT conv_id, i, {_add("x0", "3", "D")}, least({_add("x1", "3", "D")}, {_when("s", "x0", "K")}),
+               least({_add("y2", "3", "D")}, {", ".join(_when("u", x, c) for x in ("x0", "x1", "y3") for c in "KR")}),
+               least({_add("y3", "3", "D")}, {_when("a", "y2", "K")}, {_when("a", "y2", "R")})
+        FROM (
+            SELECT t.conv_id, t.i, goes, late, kind, x0, x1, {_INSERTED}
+            FROM paths p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1
+        )
+    ),
+    ended AS (SELECT conv_id, least(x0, y3) AS path FROM (SELECT conv_id, x0, {_INSERTED}, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS n FROM paths) WHERE n = 1),
+    letters AS (SELECT conv_id, unnest(range(10, len(path) + 1)) AS p, substr(path, p, 1) AS letter FROM ended),
+    steps AS (
+        SELECT *, sum(CAST(letter <> 'I' AS INT)) OVER w AS i, sum(CAST(letter <> 'D' AS INT)) OVER w AS o
+        FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+    ),
+    made AS (
+        SELECT s.conv_id, s.p, s.letter, s.o, t.role, CASE WHEN s.letter = 'I' THEN '' ELSE t.text END AS text,
+               max(CAST(s.o = 1 AND s.letter = 'K' AND t.kind = 's' AS INT)) OVER (PARTITION BY s.conv_id) AS led
+        FROM steps s LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i WHERE s.letter <> 'D'
+    ),
+    repaired AS (
+        SELECT conv_id, string_agg((CASE WHEN letter = 'K' THEN role WHEN (o - led) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY p) AS script
+        FROM made GROUP BY conv_id
+    ),
+    facts AS (
+        SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+               count(*) FILTER (WHERE said = '') AS blank, count(*) FILTER (WHERE said <> '' AND seen) AS duplicate, CAST(sum(late) AS BIGINT) AS truncated,
+               count(*) FILTER (WHERE kind_before IS NOT NULL AND kind_before || kind NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM turns GROUP BY conv_id
+    )
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, CAST(left(path, 9) AS BIGINT) AS cost, substr(path, 10) AS audit, sha256(coalesce(script, '')) AS repaired_sha256
+    FROM ended e LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
+    """,
+)
+def op11_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return dialogue.repair(dialogue.damage(given), ids=given)
