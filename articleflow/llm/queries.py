@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleflow.llm import archive, bpe, chat, decontaminate, dialogue, language, lm, quality, repeats, rollup, simhash, toxicity
+from articleflow.llm import archive, bpe, chat, codes, decontaminate, dialogue, language, lm, quality, repeats, rollup, simhash, toxicity
 from articleflow.llm.common import bucket, table
 from articleflow.session import configure, settle, work_dir
 
@@ -307,3 +307,50 @@ _CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(k
 def op11_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     return dialogue.repair(dialogue.damage(given), ids=given)
+
+
+def _codes_sql() -> str:
+    """The rounds written out one after another."""
+    ctes = [
+        """kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v,
+               row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    )""",
+        "cut AS MATERIALIZED (SELECT r, p, list_slice(v, p * (len(v) // 4) + 1, (p + 1) * (len(v) // 4)) AS x FROM kept, range(4) AS t(p))",
+        "c0 AS MATERIALIZED (SELECT p, r - 1 AS j, x AS c FROM cut WHERE r <= 256)",
+    ]
+    for k in range(5):
+        ctes.append(
+            f"""a{k} AS MATERIALIZED (
+        SELECT r, cut.p, min({{'d': CAST(list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c) AS BIGINT), 'j': j}}) AS best
+        FROM cut JOIN c{k} USING (p) GROUP BY r, cut.p
+    )"""
+        )
+        if k < 4:
+            ctes.append(
+                f"""c{k + 1} AS MATERIALIZED (
+        WITH sums AS (
+            SELECT p, j, i, sum(x[i]) AS s, count(*) AS n
+            FROM (SELECT cut.p, best.j AS j, x, unnest(range(1, len(x) + 1)) AS i FROM a{k} JOIN cut USING (r, p)) GROUP BY ALL
+        ),
+        means AS (SELECT p, j, list(floor(s / n) ORDER BY i) AS m FROM sums GROUP BY p, j)
+        SELECT c{k}.p, c{k}.j, coalesce(m, c) AS c FROM c{k} LEFT JOIN means USING (p, j)
+    )"""
+            )
+    return "WITH " + ",\n    ".join(ctes) + """,
+    coded AS (SELECT r, string_agg(lpad(lower(to_hex(best.j)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a4 GROUP BY r),
+    book AS (SELECT sha256(coalesce(string_agg(CAST(CAST(c[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, j, i), '')) AS h FROM (SELECT p, j, c, unnest(range(1, len(c) + 1)) AS i FROM c4))
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+    FROM kept JOIN coded USING (r), book
+    """
+
+
+@query("op12_codes", _codes_sql())
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    coded = settle(coded, "coded")
+    sums = settle(coded.groupBy("label").agg(F.sum("error").alias("label_error")), "labels").withColumnRenamed("label", "of")
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    rows = coded.join(sums, F.col("label").eqNullSafe(F.col("of")), "left")
+    return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(codes.fingerprint(books)).alias("codebooks_sha256"))
