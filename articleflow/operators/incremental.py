@@ -15,6 +15,8 @@ from articleflow.functions.text import clean_multi_line, clean_one_line, first_f
 from articleflow.schema import ARTICLE_FIELDS, MULTI_LINE_FIELDS, VERDICT_FIELDS
 
 _KEY = "_dedupe_key"
+# The column an index of keys is partitioned by, and how many values it has.
+PREFIX, PREFIXES = "_prefix", 32
 
 
 def canonicalize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -66,34 +68,58 @@ def known_keys(history: DataFrame, column: str, stored: bool = False) -> DataFra
     return history.select(key.alias(_KEY)).filter(F.col(_KEY) != "")
 
 
+def key_prefix(key: Column) -> Column:
+    """The partition of an index that a key is in."""
+    return F.pmod(F.xxhash64(key), F.lit(PREFIXES)).cast("int")
+
+
 def _known(keyed: DataFrame, history: DataFrame, column: str, stored: bool = False) -> DataFrame:
     """The batch's keys that the history has.
 
     The history is reduced to keys of this batch first. A batch below the broadcast
     threshold never shuffles the history; a larger one shuffles its key column only,
     and the reduced keys stay partitioned for the join that follows. ``distinct``
-    keeps a key that fills a third of either side from meeting itself.
+    keeps a key that fills a third of either side from meeting itself. Of an index only the
+    prefixes of the batch are read, when the batch is small enough to be broadcast; the condition on
+    its keys lets Spark see that it narrows the scan.
     """
     wanted = keyed.select(_KEY).distinct()
+    if PREFIX in history.columns:
+        wanted = wanted.filter(F.col(_KEY) != "").withColumn(PREFIX, key_prefix(F.col(_KEY)))
+        index = history.select(F.col(column).alias(_KEY), PREFIX)
+        return index.join(wanted, [PREFIX, _KEY], "left_semi").select(_KEY).distinct()
     return known_keys(history, column, stored).join(wanted, _KEY, "left_semi").distinct()
 
 
 HOT_ROWS = 100_000
+HOT_KEYS = 10_000
 SPREAD = 64
 
 
+def _broadcast(few: DataFrame) -> bool:
+    """Whether Spark's own estimate lets the table be sent to all tasks."""
+    spark = few.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = few._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return limit > 0 and int(str(size)) <= limit
+
+
 def spread_join(rows: DataFrame, few: DataFrame, keys: list[str], how: str, hot_rows: int | None = None) -> DataFrame:
     """Join rows to a table with one row for each key, whatever share of the rows a key has.
 
-    Keys with more than ``hot_rows`` rows are counted first (partial sums, so no task sees the
-    rows of one). Their rows are spread over ``SPREAD`` join keys and only their row of
-    ``few`` is repeated; a key that is not hot has one row on the small side as before. At most
-    one key in ``hot_rows`` rows is hot, which bounds what is sent to all tasks.
+    A table below the broadcast threshold is simply joined. Otherwise keys with more than ``hot_rows`` rows are
+    counted first (partial sums, so no task sees the rows of one). Their rows are spread over ``SPREAD`` join keys
+    and only their row of ``few`` is repeated; a key that is not hot has one row on the small side as
+    before. The ``HOT_KEYS`` hottest are sent to all tasks; any further key has less than one in
+    ``HOT_KEYS`` of the rows. Rows are dealt by their own columns, so a task that runs again deals them alike.
     """
+    if _broadcast(few):
+        return rows.join(few, keys, how)
     limit = HOT_ROWS if hot_rows is None else hot_rows
     hot = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
-    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))).otherwise(F.lit(0))
+    hot = F.broadcast(hot.orderBy(F.col("_rows").desc()).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot")))
+    own = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*own), F.lit(SPREAD))).otherwise(F.lit(0))
     left = rows.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
     right = few.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")

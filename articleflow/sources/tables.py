@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from articleflow.functions.text import text_of
 from articleflow.operators.incremental import align_columns, apply_backfill, write_back
 from articleflow.schema import EVALUATED, VERDICT_FIELDS
+from articleflow.sources import snapshots
 
 HISTORY = T.StructType([*EVALUATED.fields, T.StructField("run_id", T.StringType()), T.StructField("load_id", T.LongType())])
 LOADS = "loads"  # the run of loads written without a stream
@@ -97,11 +98,49 @@ def write_evaluated(df: DataFrame, path: str) -> None:
     elif path.endswith(".csv"):
         (
             df.write.mode("errorifexists").option("header", True).option("quoteAll", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("escape", '"').csv(path)
         )
     else:
         df.write.mode("errorifexists").parquet(path)
 
 
+def read_evaluated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Evaluated rows as ``write_evaluated`` wrote them, by the suffix of ``path``; a missing text is empty."""
+    reader = spark.read.schema(schema)
+    if path.endswith(".json"):
+        rows = reader.json(path)
+    elif path.endswith(".csv"):
+        rows = reader.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    else:
+        rows = reader.parquet(path)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return rows.withColumns({c: text_of(F.col(c)) for c in texts})
+
+
 def write_digest(lines: DataFrame, path: str, run_date: str) -> None:
     _replace(lines, f"{path}/run_date={run_date}")
+
+
+# The same tables as snapshots: readers see a run date's former content until the new one is whole.
+BATCH = T.StructType([*EVALUATED.fields, T.StructField("run_date", T.StringType())])
+DIGEST = T.StructType([T.StructField("item_no", T.LongType()), T.StructField("line_no", T.LongType()), T.StructField("line", T.StringType()), T.StructField("run_date", T.StringType())])
+
+
+def publish_batch(rows: DataFrame, path: str, run_date: str) -> int:
+    """The new batch of a run date, replaced as a whole when the run is repeated, also by nothing."""
+    return snapshots.publish(align_columns(rows).withColumn("run_date", F.lit(run_date)), path, f"batch/{run_date}")
+
+
+def read_batches(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
+    return snapshots.read(spark, path, "batch", BATCH, None if run_date is None else [f"batch/{run_date}"])
+
+
+def publish_digest(lines: DataFrame, path: str, run_date: str) -> int:
+    """The digest lines of a run date, replaced as a whole."""
+    rows = lines.select(F.col("item_no").cast("long"), F.col("line_no").cast("long"), "line", F.lit(run_date).alias("run_date"))
+    return snapshots.publish(rows, path, f"digest/{run_date}")
+
+
+def read_digest(spark: SparkSession, path: str, run_date: str) -> DataFrame:
+    return snapshots.read(spark, path, "digest", DIGEST, [f"digest/{run_date}"]).drop("run_date")

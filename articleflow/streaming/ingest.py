@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from articleflow.operators.filters import lookback
 from articleflow.operators.incremental import canonicalize, new_rows
+from articleflow.sources.history import read_index
+from articleflow.sources.history import write_load as write_indexed_load
 from articleflow.sources.tables import create_history, read_history, write_load
 
 
@@ -44,24 +46,28 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
 
 def ingest(
     stream: DataFrame, history_path: str, checkpoint: str, pos: str,
-    clock: Callable[[int], Column | date], days: int = 1, **writer: str,
+    clock: Callable[[int], Column | date], days: int = 1, indexed: bool = False, **writer: str,
 ):
     """Start the ingest over what is there and return the query.
 
     A micro-batch writes the history partition of its own run and id, and looks up all
     others but those of later batches of this run, so a repeated batch gives the same rows
-    again and what other runs and loads stored stays. ``clock`` maps a batch id to the time its window is
+    again and what other runs and loads stored stays. With ``indexed`` the history is one of
+    ``sources.history``: a micro-batch looks its keys up in the index, and its rows and keys appear
+    together. ``clock`` maps a batch id to the time its window is
     measured from.
     """
     spark = stream.sparkSession
-    create_history(spark, history_path)
+    if not indexed:
+        create_history(spark, history_path)
     run_id = run_of(spark, checkpoint)
+    known, write = (read_index, write_indexed_load) if indexed else (read_history, write_load)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        history = read_history(batch.sparkSession, history_path)
+        history = known(batch.sparkSession, history_path)
         earlier = history.filter((F.col("run_id") != run_id) | (F.col("load_id") < batch_id))
         rows = load_batch(batch, earlier, clock(batch_id), pos, days, stored=True)
-        write_load(rows, history_path, batch_id, run_id)
+        write(rows, history_path, batch_id, run_id)
 
     return (
         stream.writeStream.foreachBatch(load)
