@@ -161,10 +161,13 @@ PROMPT_HEAD = (
 )
 
 
-def prompt(title: Column, abstract: Column, content: Column, head: str = PROMPT_HEAD) -> Column:
+SAMPLE = 1000  # characters of the content that a prompt shows
+
+
+def prompt(title: Column, abstract: Column, content: Column, head: str = PROMPT_HEAD, sample: int = SAMPLE) -> Column:
     return F.concat(
         F.lit(head),
         F.lit("Title: "), text_of(title),
         F.lit("\nAbstract: "), text_of(abstract),
-        F.lit("\nContent Sample: "), F.substring(text_of(content), 1, 1000),
+        F.lit("\nContent Sample: "), F.substring(text_of(content), 1, sample),
     )

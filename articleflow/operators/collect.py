@@ -15,9 +15,11 @@ from articleflow.functions.text import clean_one_line, content_type, make_uid, t
 from articleflow.operators.filters import (
     category_or_default, content_fallback, derived_abstract, in_lookback, is_skipped_link,
 )
-from articleflow.operators.incremental import first_link_per_source, mark_known
+from articleflow.operators.blocks import page_content
+from articleflow.operators.incremental import first_link_per_source, mark_known, spread_join
 from articleflow.operators.ordered import fill_down, first_n, take_while, until_seen_streak
 from articleflow.session import settle
+from articleflow.sources.pages import extract_blocks, with_rules
 
 PAGE_BITS = 20
 
@@ -111,3 +113,22 @@ def as_articles(items: DataFrame, crawl_time: Column) -> DataFrame:
         F.when(c("pdf_marker"), content_type(c("link"))).otherwise(F.lit("html")).alias("content_type"),
         crawl_time.alias("crawl_time"),
     )
+
+
+def entry_articles(entries: DataFrame, landed: DataFrame, crawl_time: Column, pos: str = "pos") -> DataFrame:
+    """New feed entries as articles, with the text of the page that each one links to.
+
+    ``entries`` come from ``resolve_entries``, after window, repeats and known ones; ``landed`` has
+    url and html. Only pages that an entry links to are walked, each once, by the rule of feeds. The first of
+    several landings of a page counts; an entry without a landed page, or one that is no page, has no content.
+    The entries are read several times: pass a stored table.
+    """
+    links = entries.select("url").filter(F.col("url") != "").distinct()
+    first = landed.groupBy("url").agg(F.min("html").alias("html"))
+    wanted = spread_join(first, links, ["url"], "left_semi").withColumn("source", F.when(F.col("url") != "", F.lit("rss")))
+    walked = page_content(extract_blocks(with_rules(wanted))).select("url", "content")
+    rows = spread_join(entries, walked, ["url"], "left")
+    return rows.select(
+        pos, "uid", "source", "entity", "category", "published_at", "title", "url", "abstract",
+        clean_one_line(F.when(F.col("content_type") == "html", F.col("content"))).alias("content"), "content_type", crawl_time.alias("crawl_time"),
+    )

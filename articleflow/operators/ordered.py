@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from articleflow.operators.incremental import spread_join
+from articleflow.session import settle
 
 CHUNK_BITS = 16
+# ``monotonically_increasing_id`` keeps the place within a partition in so many bits.
+_PLACE_BITS = 33
 
 
 def _chunk(col: Column) -> Column:
@@ -183,6 +186,42 @@ def numbered(df: DataFrame, pos: str, name: str, keys: list[str] | None = None)
     return running(df, keys or [], pos, sums={name: F.lit(1)})
 
 
+def numbered_by_range(
+    df: DataFrame, order: list[str], name: str, keys: list[str] | None = None, ranges: int | None = None
+) -> DataFrame:
+    """Number the rows from 1 along ``order`` (per key, or over the whole table), whatever its values.
+
+    The rows are dealt out by ranges of (keys, order), so a task has its range and no more, be the
+    positions sparse, no numbers at all or all of one key. They are written once in that
+    order; a row's number is its place in its range after the sizes of the ranges before, of which there is
+    one for each task. Nulls come first; rows that are equal in ``order`` are numbered as they were written.
+    """
+    keys = keys or []
+    by = [F.col(c) for c in [*keys, *order]]
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    placed = settle(dealt.sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    part = F.shiftright("_place", _PLACE_BITS).alias("_range")
+    sizes = placed.groupBy(part).agg(F.count("*").alias("_size"))
+    # A row for each range: as many as there were tasks.
+    before = F.coalesce(F.sum("_size").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_range", before.alias("_before"))
+    rows = placed.withColumn("_range", part).join(F.broadcast(offsets), "_range")
+    number = F.col("_before") + F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1) + 1
+    rows = rows.withColumn(name, number).drop("_range", "_before", "_place")
+    if not keys:
+        return rows
+    first = rows.groupBy(*keys).agg(F.min(name).alias("_first"))
+    # A null key is one key here; a join would lose it.
+    same = [F.struct(*keys).alias("_key")]
+    joined = spread_join(rows.withColumn("_key", *[F.to_json(s) for s in same]), first.select(F.to_json(*same).alias("_key"), "_first"), ["_key"], "inner")
+    return joined.withColumn(name, F.col(name) - F.col("_first") + 1).drop("_key", "_first")
+
+
+def first_n_by_range(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows per key along ``order``; no task gets more than its range."""
+    return numbered_by_range(df, order, "_n", keys).filter(F.col("_n") <= n).drop("_n")
+
+
 def fill_down(
     df: DataFrame, keys: list[str], pos: str, is_header: Column, value: Column, name: str
 ) -> DataFrame:
@@ -197,12 +236,13 @@ def fill_down(
     ).drop("_head")
 
 
-def line_groups(df: DataFrame, keys: list[str], pos: str, line: str, dated: Column) -> DataFrame:
+def line_groups(df: DataFrame, keys: list[str], pos: str, line: str, dated: Column, link: str | None = None) -> DataFrame:
     """Cut a stream of text lines into items, each starting at a dated line.
 
     Title: the last line holding ``[PDF`` or ending in ``]``, else the line after
     the date. Category: the first other line longer than 10 characters.
-    Lines before the first date belong to no item.
+    Lines before the first date belong to no item. With ``link``, a column of the lines, an
+    item has the link of its title's line.
     """
     text = F.col(line)
     heads = fill_down(df, keys, pos, dated, text, "_date").filter(F.col("_date_pos").isNotNull())
@@ -214,6 +254,10 @@ def line_groups(df: DataFrame, keys: list[str], pos: str, line: str, dated: Colu
         F.max_by(F.when(marked, text), F.when(marked, F.col(pos))).alias("_marked"),
         F.min_by(F.when(body, text), F.when(body, F.col(pos))).alias("_next"),
         F.min_by(F.when(other, text), F.when(other, F.col(pos))).alias("_category"),
+        *([] if link is None else [
+            F.max_by(F.when(marked, F.col(link)), F.when(marked, F.col(pos))).alias("_marked_link"),
+            F.min_by(F.when(body, F.col(link)), F.when(body, F.col(pos))).alias("_next_link"),
+        ]),
     )
     # An item without lines of its own is followed directly by the next date line.
     backwards = items.withColumn("_back", -F.col(pos))
@@ -223,6 +267,9 @@ def line_groups(df: DataFrame, keys: list[str], pos: str, line: str, dated: Colu
         *keys, pos, "date_raw",
         F.coalesce("_marked", "_next", F.col("_after")["v"], F.lit("")).alias("title"),
         F.coalesce("_category", F.lit("")).alias("category"),
+        *([] if link is None else [
+            F.coalesce(F.when(F.col("_marked").isNotNull(), F.col("_marked_link")).otherwise(F.col("_next_link")), F.lit("")).alias("link")
+        ]),
     )
 
 

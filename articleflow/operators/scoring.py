@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from articleflow.operators.incremental import spread_join
+from articleflow.session import settle
+from articleflow.sources import snapshots
 
 Scorer = Callable[[list[str]], list[str | None]]
 
@@ -49,6 +56,46 @@ def score(df: DataFrame, scorers: dict[str, Scorer], prompt: str = "prompt") ->
     return df.mapInArrow(run, schema)
 
 
+ANSWERS = T.StructType([T.StructField(c, T.StringType()) for c in ("version", "digest", "raw")])
+
+
+def score_once(
+    df: DataFrame, scorers: dict[str, tuple[str, Scorer]], path: str, prompt: str = "prompt", parts: int = 4
+) -> DataFrame:
+    """``score`` with a store of answers below ``path``: equal prompts are scored once, in all runs together.
+
+    ``scorers`` maps a name to a version and a function; answers are kept by version and SHA-256 of the prompt,
+    so a new version is asked anew. Only distinct prompts without an answer are scored, in ``parts``
+    that are committed one by one: a run that fails goes on from there when it is repeated. A
+    failure (null) is not kept and is asked again by the next run. A null prompt has a null answer.
+    Rows are read twice: pass a stored table.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn("_digest", F.sha2(prompt, 256))
+    asked = rows.filter(F.col(prompt).isNotNull()).groupBy("_digest").agg(F.first(prompt).alias(prompt))
+    for name, (version, fn) in scorers.items():
+        kind = f"answers/{version}/"
+        known = snapshots.read(spark, path, "answers", ANSWERS, prefix=f"{version}/").select(F.col("digest").alias("_digest")).distinct()
+        missing = settle(asked.join(known, "_digest", "left_anti").withColumn("_part", F.pmod(F.xxhash64("_digest"), F.lit(parts))), "missing")
+        present = {r["_part"] for r in missing.select("_part").distinct().collect()}
+        for part in sorted(present):
+            got = score(missing.filter(F.col("_part") == part).drop("_part"), {"new": fn}, prompt)
+            kept = got.filter(F.col("new_raw").isNotNull()).select(F.lit(version).alias("version"), F.col("_digest").alias("digest"), F.col("new_raw").alias("raw"))
+            snapshots.publish(kept, path, f"{kind}{uuid.uuid4().hex}")
+    out = rows
+    for name, (version, _) in scorers.items():
+        stored = snapshots.read(spark, path, "answers", ANSWERS, prefix=f"{version}/")
+        # Two runs at a time may both have asked; one answer counts for all rows.
+        answers = stored.groupBy(F.col("digest").alias("_digest")).agg(F.min("raw").alias(f"{name}_raw"))
+        out = spread_join(out, answers, ["_digest"], "left")
+    return out.drop("_digest", prompt)
+
+
+def stored_answers(spark: SparkSession, path: str, version: str) -> DataFrame:
+    """The kept answers of one scorer version (version, digest, raw)."""
+    return snapshots.read(spark, path, "answers", ANSWERS, prefix=f"{version}/")
+
+
 def keyword_scorer(terms: list[str], per_hit: float = 0.25) -> Scorer:
     """A deterministic scorer for tests: relevant when any term occurs."""
 

@@ -524,3 +524,25 @@ def batch_table(spark, sf_dir):
     tables.write_batch(rows.filter("pos % 2 = 0"), path, "2024-01-31")
     tables.write_batch(rows, path, "2024-01-31")
     return spark.read.parquet(path).select(*ARTICLE_FIELDS)
+
+
+@query(
+    "header_check",
+    X.with_sql(
+        X.STAGED,
+        """
+        SELECT DISTINCT source, 2 + CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % 3 AS columns,
+               CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % 3 = 1 AS ok FROM staged WHERE source IS NOT NULL""".replace("\\\\", "\\"),
+    ),
+)
+def header_check(spark, sf_dir):
+    """Files of three columns are expected; a third of the sources' files have one less, a third one more."""
+    path = work_dir(spark, "header-check")
+    s = X.staged(spark, sf_dir).filter("source is not null")
+    kind = F.regexp_extract("source", r"(\d+)$", 1).cast("long") % 3
+    names = ["title", "url", "content", "category"]
+    for k in range(3):
+        part = s.filter(kind == k).repartition("source").select("source", *names[: k + 2])
+        part.write.mode("append").partitionBy("source").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    found = A.validate_headers(spark, path, names[:3])
+    return found.select(F.regexp_extract("file", "source=([^/]+)", 1).alias("source"), "columns", "ok")

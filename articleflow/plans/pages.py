@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.text import clean_one_line
 from articleflow.operators import blocks as B
-from articleflow.operators.collect import accepted_items, as_articles, listing_position
+from articleflow.operators.collect import accepted_items, as_articles, entry_articles, listing_position
 from articleflow.operators.filters import in_lookback
 from articleflow.operators.incremental import first_per_key, new_rows, not_in_history, spread_join
 from articleflow.plans import fixtures as X
@@ -352,6 +352,49 @@ def site_listing(spark, sf_dir):
     return done.select("source", "pos", "link", F.col("published_on").cast("string").alias("published_at"))
 
 
+# List pages that show their items as lines: a date, sometimes a category, sometimes a marked title.
+SHOWN = X.STAGED + f""",
+shown AS (
+  SELECT pos, floor(pos / 40) AS page_no, {one_line('title')} AS name, published_on, upper(source) AS entity,
+         CASE WHEN pos % 7 = 3 THEN 'Foo. 45, 2024' WHEN pos % 11 = 5 THEN '+ Jan. 5, 2024'
+              ELSE strftime(published_on, '%b. %-d, %Y') END AS date_line FROM staged),
+listed AS (
+  SELECT *, lead(date_line) OVER (PARTITION BY page_no ORDER BY pos) AS next_date FROM shown)"""
+
+
+@query(
+    "boj_listing",
+    X.with_sql(
+        SHOWN,
+        """
+        SELECT CAST(page_no AS BIGINT) AS page_no, CAST(published_on AS VARCHAR) AS published_at,
+               CASE WHEN pos % 9 = 8 THEN coalesce(next_date, '') WHEN pos % 5 = 4 THEN entity || ' announcements' ELSE trim(name || ' [PDF 10KB]') END AS title,
+               CASE WHEN pos % 9 = 8 THEN '' WHEN pos % 5 = 4 THEN 'https://www.boj.or.jp/en/about/' || CAST(pos AS VARCHAR)
+                    ELSE 'https://www.boj.or.jp/en/data/' || CAST(pos AS VARCHAR) || '.pdf' END AS link,
+               CASE WHEN pos % 9 = 8 THEN '' ELSE entity || ' announcements' END AS category
+        FROM listed WHERE pos % 7 <> 3 AND pos % 11 <> 5""",
+    ),
+)
+def boj_listing(spark, sf_dir):
+    """A site without item elements: lines of text, cut at the dates, each title with its own link."""
+
+    def shown(text):
+        return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+    s = X.staged(spark, sf_dir)
+    no, number = F.col("pos"), F.col("pos").cast("string")
+    day = F.when(no % 7 == 3, "Foo. 45, 2024").when(no % 11 == 5, "+ Jan. 5, 2024").otherwise(F.date_format("published_on", "MMM. d, yyyy"))
+    about = F.concat(F.lit('<p><a href="/en/about/'), number, F.lit('">'), F.upper("source"), F.lit(" </a><b>announcements</b></p>"))
+    paper = F.concat(F.lit('<div>\n<span><a href="/en/data/'), number, F.lit('.pdf">'), shown(F.col("title")), F.lit(" [PDF <i>10KB]</i></a></span></div>"))
+    body = F.when(no % 9 == 8, "").when(no % 5 == 4, about).otherwise(F.concat(about, paper))
+    item = F.concat(F.lit("<tr><td>"), day, F.lit("</td></tr><tr><td>"), body, F.lit("</td></tr>"))
+    lists = s.groupBy(F.floor(no / 40).alias("page_no")).agg(F.sort_array(F.collect_list(F.struct("pos", item.alias("x")))).alias("rows"))
+    html = F.concat(F.lit("<head><title>May. 1, 2024</title></head><body><h1>What's new</h1><table>"), F.array_join(F.transform("rows", lambda r: r["x"]), ""), F.lit("</table>"))
+    listed = pages.with_rules(lists.select("page_no", F.when(F.size("rows") > 0, "boj").alias("source"), html.alias("html")))
+    items = pages.resolve_items(pages.line_items(listed, ["page_no"]), F.lit(X.NOW)).filter(F.col("published_on").isNotNull())
+    return items.select("page_no", F.col("published_on").cast("string").alias("published_at"), "title", "link", "category")
+
+
 @query(
     "new_page_content",
     X.with_sql(
@@ -412,3 +455,45 @@ def page_articles(spark, sf_dir):
     rows = as_articles(spread_join(fresh, walked.select("url", "content"), ["url"], "left"), F.lit("2024-01-31 08:00:00"))
     new = new_rows(rows, X.history(spark, sf_dir), "pos")
     return new.select("uid", "source", "entity", "category", "published_at", "title", "url", "abstract", "content")
+
+
+@query(
+    "feed_articles",
+    X.with_sql(
+        COUNTED,
+        f"""
+        SELECT sha256('rss|' || p.url) AS uid, 'rss' AS source, 'Pages' AS entity, 'news' AS category, '2024-01-31 08:30:00' AS published_at,
+               'Page ' || CAST(p.page_id AS VARCHAR) AS title, p.url, 'short' AS abstract, coalesce(c.content, '') AS content
+        FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS n FROM pages WHERE url <> '' AND page_id IS NOT NULL) p LEFT JOIN (
+          SELECT url, {one_line("string_agg(text, ' ' ORDER BY pos)")} AS content
+          FROM counted JOIN (SELECT url, page_id, row_number() OVER (PARTITION BY url ORDER BY html) AS m FROM pages) l USING (page_id)
+          WHERE m = 1 AND length(text) > 5 GROUP BY url) c ON p.url = c.url
+        WHERE p.n = 1 AND p.page_id % 3 <> 0 AND p.url NOT IN (SELECT url FROM pages WHERE length(html) > 3000)""",
+    ),
+)
+def feed_articles(spark, sf_dir):
+    """From feed entries to stored articles: window, known ones out, then the page behind each entry.
+
+    The feeds name all pages of the table; every third entry is too old.
+    """
+    p = X.table(spark, sf_dir, "pages").filter("url <> '' and page_id is not null")
+    link = F.replace(F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    day = F.when(F.col("page_id") % 3 == 0, "Mon, 01 Jan 2024").otherwise("Wed, 31 Jan 2024")
+    entry = F.concat(
+        F.lit("<item><title>Page "), F.col("page_id").cast("string"), F.lit("</title><link>"), link, F.lit("</link><pubDate>"), day,
+        F.lit(" 08:30:00 +0100</pubDate><description>&lt;p&gt;short&lt;/p&gt;</description></item>"),
+    )
+    grouped = p.groupBy(F.floor(F.col("page_id") / 50).alias("feed_no")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", entry.alias("x")))), lambda e: e["x"]), "").alias("items")
+    )
+    feed = F.lit("https://pages.example.com/feed")
+    docs = grouped.select(feed.alias("feed_url"), "feed_no", F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")).alias("xml"))
+    names = "entity string, entity_type string, rss_type string, feed_url string, base_url string"
+    registry = spark.createDataFrame([("Pages", "news", "", "https://pages.example.com/feed", "")], names)
+    resolved = feeds.resolve_entries(feeds.feed_entries(docs, "xml"), registry, 2024)
+    placed = resolved.withColumn("pos", listing_position(F.col("feed_no"), F.col("entry_pos")))
+    recent = settle(placed.filter(in_lookback(F.col("published_on"), X.NOW)), "recent")
+    known = X.table(spark, sf_dir, "pages").filter(F.length("html") > 3000).select("url")
+    fresh = settle(new_rows(recent, known, "pos", "url"), "fresh")
+    rows = entry_articles(fresh, X.table(spark, sf_dir, "pages"), F.lit("2024-01-31 08:00:00"))
+    return rows.select("uid", "source", "entity", "category", "published_at", "title", "url", "abstract", "content")

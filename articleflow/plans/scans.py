@@ -149,3 +149,26 @@ def line_groups(spark, sf_dir):
     lines = e.select("user_id", F.col("event_id").alias("pos"), line.alias("line"))
     dated = F.col("line").rlike(r"^\+?\s*[A-Za-z]+\.\s*\d{1,2},\s*\d{4}")
     return O.line_groups(lines, ["user_id"], "pos", "line", dated)
+
+
+# Positions like hash values: no two rows stand near one another.
+SPARSE = X.STAGED + """,
+sparse AS (SELECT source, pos, (pos * 2654435761) % 4294967296 * 1048576 AS place FROM staged)"""
+
+
+def sparse(spark, sf_dir):
+    place = (F.col("pos") * F.lit(2654435761)) % F.lit(4294967296) * F.lit(1048576)
+    return X.staged(spark, sf_dir).select("source", "pos", place.alias("place"))
+
+
+@query("numbered_sparse", X.with_sql(SPARSE, "SELECT pos, row_number() OVER (ORDER BY place) AS no, row_number() OVER (PARTITION BY source ORDER BY place) AS source_no FROM sparse"))
+def numbered_sparse(spark, sf_dir):
+    """Rows numbered over the table and within their source, by ranges of positions."""
+    whole = O.numbered_by_range(sparse(spark, sf_dir), ["place"], "no")
+    return O.numbered_by_range(whole, ["place"], "source_no", ["source"]).select("pos", "no", "source_no")
+
+
+@query("cap_sparse", X.with_sql(SPARSE, "SELECT source, pos FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY place) AS n FROM sparse) x WHERE n <= 20"))
+def cap_sparse(spark, sf_dir):
+    """The first 20 of each source by such positions."""
+    return O.first_n_by_range(sparse(spark, sf_dir), ["source"], ["place"], 20).select("source", "pos")

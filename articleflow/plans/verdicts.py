@@ -11,11 +11,11 @@ from articleflow.operators import report as R
 from articleflow.operators import verdict as J
 from articleflow.operators.filters import lookback
 from articleflow.operators.incremental import new_rows
-from articleflow.operators.scoring import keyword_scorer, score
+from articleflow.operators.scoring import keyword_scorer, score, score_once, stored_answers
 from articleflow.plans import fixtures as X
 from articleflow.plans.incremental import RECENT_NEW
 from articleflow.plans.registry import query
-from articleflow.session import settle
+from articleflow.session import settle, work_dir
 
 
 def judged(spark, sf_dir):
@@ -235,6 +235,32 @@ def scorer_job(spark, sf_dir):
     return J.merge(J.answers(scored)).select("pos", "label", "confidence", "m1_reason")
 
 
+@query(
+    "scored_once",
+    X.with_sql(
+        X.STAGED,
+        f"""
+        SELECT pos, copy, CASE WHEN h > 0 OR g THEN 'TRUE' ELSE 'FALSE' END AS label,
+               CAST(h AS VARCHAR) || ' terms' AS m1_reason, (SELECT 2 * count(DISTINCT {PROMPT_SQL}) FROM staged) AS asked
+        FROM (SELECT pos, copy, {SCORED} AS h, contains(lower(p), 'tion') AS g
+              FROM (SELECT pos, copy, {PROMPT_SQL} AS p FROM staged, (SELECT unnest([0, 1, 2]) AS copy) c) a) b""",
+    ),
+)
+def scored_once(spark, sf_dir):
+    """Every prompt three times, in two runs over a store of answers; ``asked`` is what the scorers were given in all."""
+    c = F.col
+    path = work_dir(spark, "scored-once")
+    prompts = X.staged(spark, sf_dir).withColumns(
+        {"prompt": V.prompt(c("title"), c("abstract"), c("content")), "copy": F.explode(F.array(*(F.lit(i) for i in range(3)))), "content": F.substring("content", 1, 200)}
+    ).select("pos", "copy", "title", "abstract", "content", "prompt")
+    prompts = settle(prompts, "prompts")
+    scorers = {"m1": ("m1-1", keyword_scorer(TERMS)), "m2": ("m2-1", keyword_scorer(["tion"]))}
+    score_once(prompts.filter("pos % 2 = 0 and copy < 2"), scorers, path, parts=2)
+    scored = score_once(prompts, scorers, path, parts=1)
+    asked = sum(stored_answers(spark, path, version).count() for version, _ in scorers.values())
+    return J.merge(J.answers(scored)).select("pos", c("copy").cast("int").alias("copy"), "label", "m1_reason", F.lit(asked).cast("long").alias("asked"))
+
+
 @query(
     "alert_rollup",
     X.with_sql(

@@ -73,6 +73,22 @@ def validate_articles(spark: SparkSession, path: str, columns: list[str] | None
     )
 
 
+def validate_headers(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """One row for each CSV file: its path, how many columns its header names, and whether these are
+    as many as expected. A file without any record has none and counts as sound.
+
+    Every task passes on one line of a file.
+    """
+    expected = len(columns or ARTICLE_FIELDS)
+    place = F.col("_metadata.file_path").alias("file")
+    lines = spark.read.text(path).select(place, F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("start", "at")).alias("header"))
+    # Quoted names may hold commas.
+    bare = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), r'"(?:[^"]|"")*"', "")
+    width = F.when(F.col("header") == "", F.lit(0)).otherwise(F.regexp_count(bare, F.lit(",")) + 1).cast("long")
+    return first.select("file", width.alias("columns"), ((width == expected) | (width == 0)).alias("ok"))
+
+
 def validate_lines(lines: DataFrame, line: str, pos: str, columns: int) -> DataFrame:
     """The same check on CSV records held in a column; ``first_bad`` is a position."""
     schema = ", ".join([*[f"c{i} string" for i in range(columns)], f"{BAD} string"])

@@ -85,6 +85,57 @@ class Node:
         return sep.join(out)
 
 
+# Elements that begin and end a line of shown text; cells of a row stand on one line.
+LINES = BLOCK | frozenset("body br caption center dd details dt figcaption figure html legend li optgroup option summary tbody tfoot thead tr".split())
+CELLS = frozenset(("td", "th"))
+UNSHOWN = frozenset((*SILENT, "head", "title", "noscript"))
+
+
+def text_lines(root: Node) -> list[tuple[str, str]]:
+    """The lines of text as a page shows them, blanks collapsed, each with the address of the first link
+    that covers part of it (empty if none does)."""
+    out: list[tuple[str, str]] = []
+    buffer: list[str] = []
+    anchors: list[str] = []
+    link = ""
+
+    def end_line() -> None:
+        nonlocal link
+        if buffer:
+            text = " ".join("".join(buffer).split())
+            if text:
+                out.append((text, link))
+            buffer.clear()
+        link = ""
+
+    stack: list[tuple[Node, Iterator[Node | str]]] = [(root, iter(root.items))]
+    while stack:
+        node, items = stack[-1]
+        for item in items:
+            if isinstance(item, str):
+                text = unescape(item) if "&" in item else item
+                buffer.append(text)
+                if anchors and not link and text.strip():
+                    link = anchors[-1]
+            elif item.tag not in UNSHOWN:
+                if item.tag in LINES:
+                    end_line()
+                elif item.tag in CELLS:
+                    buffer.append(" ")
+                if item.tag == "a":
+                    anchors.append(item.attrs.get("href", "").strip())
+                stack.append((item, iter(item.items)))
+                break
+        else:
+            stack.pop()
+            if node.tag in LINES:
+                end_line()
+            elif node.tag == "a":
+                anchors.pop()
+    end_line()
+    return out
+
+
 class _Open:
     """The open elements: where the next one goes, and how many there are of each tag."""
 

@@ -179,7 +179,7 @@ def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int)
     url is cleaned. Entries without any date are dropped.
     """
     day = F.to_date(F.substring("published_at", 1, 10))
-    # A stream can't count its keys first; its batches are joined as they come.
+    # A registry is small in nearly every case; a stream can't count its keys first.
     if entries.isStreaming:
         joined = entries.join(registry, "feed_url")
     else:

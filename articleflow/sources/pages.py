@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.dates import site_date
 from articleflow.functions.text import clean_one_line, prefixed_url
+from articleflow.operators.ordered import line_groups
 from articleflow.schema import BLOCKS
 from articleflow.sources import dom
 from articleflow.sources.rules import GENERIC_RULE, SITE_RULES, rules_table
@@ -189,6 +190,33 @@ def extract_items(pages: DataFrame) -> DataFrame:
     )
 
 
+LINE_ROW = pa.struct([("pos", pa.int32()), ("line", pa.string()), ("line_link", pa.string())])
+# Rule columns that only listings need; after grouping lines a rule is attached again.
+_ITEM_RULES = ["item", "item_date", "item_title", "item_link", "item_abstract", "item_category"]
+
+
+def page_lines(html: str | None, rule: dict) -> list[dict]:
+    """Lines of a page as it is shown, with the address that covers them."""
+    lines = dom.text_lines(dom.parse(html or ""))
+    return [{"pos": i, "line": text, "line_link": link} for i, (text, link) in enumerate(lines)]
+
+
+def line_items(pages: DataFrame, keys: list[str], rules: list[dict] | None = None) -> DataFrame:
+    """Listing rows, as ``extract_items`` gives them, of pages that list their items as lines of text.
+
+    ``pages`` carry their rules; a rule's ``line_dates`` is the pattern of a line that begins an item. ``keys`` name
+    a page. A date line that can't be read begins an item too: it ends the item before,
+    and the undated policy of the source decides about its own.
+    """
+    listed = pages.filter(F.col("line_dates") != "").select("source", *keys, "html", "item", "line_dates")
+    lines = _map_pages(listed, ["item"], page_lines, "lines", "array<struct<pos:int,line:string,line_link:string>>", LINE_ROW)
+    rows = lines.select("source", *keys, "line_dates", F.explode("lines").alias("l")).select("source", *keys, "line_dates", "l.*")
+    starts = F.rlike(F.col("line"), F.col("line_dates"))
+    items = line_groups(rows, ["source", *keys], "pos", "line", starts, "line_link")
+    found = with_rules(items.withColumnRenamed("category", "_category"), rules).withColumnRenamed("category", "site_category")
+    return found.drop(*CONTENT_RULES, *_ITEM_RULES).withColumnRenamed("_category", "category").withColumn("abstract", F.lit(""))
+
+
 def resolve_items(items: DataFrame, today: Column) -> DataFrame:
     """Absolute links, cleaned texts and the listing date by the source's style."""
     return items.withColumns(

@@ -16,7 +16,7 @@ RULE_SCHEMA = (
     "tight_tags string, pick string, separator string, min_length int, loose_min_length int, "
     "free_li boolean, trim boolean, drop_pattern string, pdf_marker boolean, "
     "abstract_mode string, fallback_chain string, needs_title boolean, date_headers boolean, "
-    "skip_documents boolean, drop_known boolean, seen_limit int, page_cap int, detail_date string, needs_date boolean"
+    "skip_documents boolean, drop_known boolean, seen_limit int, page_cap int, detail_date string, needs_date boolean, line_dates string"
 )
 
 _DEFAULTS = {
@@ -27,7 +27,7 @@ _DEFAULTS = {
     "separator": "\n\n", "min_length": 1, "loose_min_length": 1, "free_li": False, "trim": False,
     "drop_pattern": "", "pdf_marker": False, "abstract_mode": "listing", "fallback_chain": "",
     "needs_title": False, "date_headers": False, "skip_documents": False, "drop_known": False,
-    "seen_limit": 0, "page_cap": 0, "detail_date": "", "needs_date": False,
+    "seen_limit": 0, "page_cap": 0, "detail_date": "", "needs_date": False, "line_dates": "",
 }
 
 # The job order of the sources.
@@ -81,6 +81,7 @@ SITE_RULES = [
         "cap": 0, "containers": "div.outline.mod_outer,div#content,div.main,article,body > div",
         "block_tags": "h1,h2,h3,p,li,ul.link-list01 a", "loose_tags": "p,h2,h3", "body_text": True,
         "min_length": 6, "loose_min_length": 11, "pdf_marker": True, "abstract_mode": "prefix300",
+        "line_dates": r"^(\+?\s*[A-Za-z]+\.\s*\d{1,2},\s*\d{4})",
     },
     {
         "source": "ecb", "date_headers": True, "skip_documents": True, "drop_known": True,
