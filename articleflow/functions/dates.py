@@ -111,7 +111,8 @@ _MONTH = r"(0[1-9]|1[0-2])"
 _YEAR = r"(202[2-9])"
 _SEP = r"[-/.]"
 
-_BEFORE, _AFTER = 32, 12  # more than any accepted date takes on either side of its year
+# More than any accepted date takes on either side of its year, where no run of blanks is longer than _RUN.
+_BEFORE, _AFTER, _RUN = 64, 12, 7
 
 
 def _around_years(text: Column) -> Column:
@@ -141,10 +142,16 @@ def text_date(text: Column) -> Column:
     Numeric year-first dates win over day-first ones, those over month names.
     The numeric forms are taken as written, without a calendar check.
     """
-    single = F.regexp_replace(text_of(text), _BLANKS, " ")  # so the pieces below have bounded gaps
-    found = bind(bind(single, _around_years), _text_date)
-    # Most texts name no such year: one cheap search decides before the others run.
-    return F.when(text_of(text).rlike("202[2-9]"), found).otherwise(F.lit(""))
+
+    def found(whole: Column) -> Column:
+        # Long runs of blanks are collapsed first, so the pieces hold a date with its gaps; the
+        # blanks of all others are collapsed in the pieces.
+        narrow = F.when(whole.rlike(f"[{WS}]{{{_RUN + 1}}}"), F.regexp_replace(whole, _BLANKS, " ")).otherwise(whole)
+        pieces = F.regexp_replace(bind(narrow, _around_years), _BLANKS, " ")
+        # Most texts name no such year: one cheap search decides before the others run.
+        return F.when(whole.rlike("202[2-9]"), bind(pieces, _text_date)).otherwise(F.lit(""))
+
+    return bind(text_of(text), found)
 
 
 def _text_date(s: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from html import unescape as decoded
-from html.entities import html5, name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,11 +132,14 @@ def cn_numeral(n: Column) -> Column:
     return F.when(n.between(1, 99), F.concat(head, ten, tail)).otherwise(n.cast("string"))
 
 
-def _entity_map() -> Column:
-    """All names of the standard, the usual ones first, for they are searched in this order."""
-    usual = [f"{n};" for n in ["amp", "lt", "gt", "quot", "apos", "nbsp", *name2codepoint] if f"{n};" in html5]
-    names = dict.fromkeys([*usual, *(n for n in html5 if n.endswith(";"))])
-    return F.create_map(*[F.lit(x) for n in names for x in (f"&{n}", html5[n])])
+# Names looked up first; texts seldom hold others.
+_USUAL = "amp lt gt quot apos nbsp copy reg trade middot bull hellip ndash mdash lsquo rsquo ldquo rdquo laquo raquo euro pound deg sect".split()
+
+
+def _entity_map(names: list[str]) -> Column:
+    """References and their characters as one constant, built from two texts and not name by name."""
+    keys, values = "\x01".join(f"&{n}" for n in names), "\x01".join(html5[n] for n in names)
+    return F.map_from_arrays(F.split(F.lit(keys), "\x01"), F.split(F.lit(values), "\x01"))
 
 
 def _code_point(number: Column) -> Column:
@@ -150,7 +153,9 @@ def unescape(col: Column) -> Column:
 
 def _unescaped(col: Column) -> Column:
     token = r"(?s)&#?[0-9A-Za-z]{1,32};|[^&]+|&"
-    named = _entity_map()
+    usual = [f"{n};" for n in _USUAL]
+    short = _entity_map(usual)
+    every = _entity_map([n for n in html5 if n.endswith(";") and n not in usual])
 
     def decode(t: Column) -> Column:
         dec = F.regexp_extract(t, "^&#([0-9]{1,7});$", 1)
@@ -164,7 +169,7 @@ def _unescaped(col: Column) -> Column:
         ok = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         return F.when(
             t.startswith("&"),
-            F.coalesce(F.try_element_at(named, t), F.when(number.between(128, 159), old), F.when(ok, _code_point(number)), t),
+            F.coalesce(F.try_element_at(short, t), F.when(t.rlike("^&[A-Za-z]"), F.try_element_at(every, t)), F.when(number.between(128, 159), old), F.when(ok, _code_point(number)), t),
         ).otherwise(t)
 
     parts = F.transform(F.regexp_extract_all(col, F.lit(token), F.lit(0)), decode)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from articleflow.functions import verdicts as V
 from articleflow.functions.text import first_filled, text_of
+from articleflow.operators.incremental import spread_join
 
 
 def pair_answers(responses: DataFrame, key: str = "article_id") -> DataFrame:
@@ -78,3 +79,33 @@ def keyword_prefilter(df: DataFrame, terms: list[str] | None = None) -> DataFram
     """Articles that mention any term, with how many do."""
     hits = V.matched_terms(F.col("title"), F.col("abstract"), F.col("content"), terms or V.KEYWORDS)
     return df.withColumn("matched", hits).filter(F.col("matched") > 0)
+
+
+def term_words(text: Column) -> Column:
+    """Words of a text in lower case: runs of letters and digits."""
+    return F.regexp_extract_all(F.lower(text_of(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def keyword_table(articles: DataFrame, terms: DataFrame, pos: str, columns: list[str], term: str = "term") -> DataFrame:
+    """Rows (pos, matched): how many of the terms an article holds, for articles that hold any.
+
+    ``terms`` is a table of any size. A term is a run of whole words, of one or several; blanks and signs
+    between words don't count, and terms that have the same words are one. The lengths of terms decide which
+    runs of words are made from a text; each run is looked up once for an article, by an equi-join
+    that spreads runs found in very many articles. ``pos`` names an article. Texts of ``columns`` follow each
+    other; null texts are empty, and an empty term matches nothing.
+    """
+    known = terms.select(term_words(F.col(term)).alias("w")).filter(F.size("w") > 0)
+    known = known.select(F.array_join("w", " ").alias("run"), F.size("w").alias("n")).distinct()
+    lengths = [r.n for r in known.select("n").distinct().collect()]  # a few small numbers
+    if not lengths:
+        return articles.select(pos, F.lit(0).cast("long").alias("matched")).limit(0)
+    whole = articles.select(pos, term_words(F.concat_ws(" ", *(text_of(F.col(c)) for c in columns))).alias("w"))
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))
+
+    made = whole.select(pos, F.explode(F.array_distinct(F.flatten(F.array(*(runs(n) for n in sorted(lengths)))))).alias("run"))
+    found = spread_join(made, known.select("run"), ["run"], "left_semi")
+    return found.groupBy(pos).agg(F.count("*").alias("matched"))

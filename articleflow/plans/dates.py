@@ -103,6 +103,43 @@ def feed_date(spark, sf_dir):
     return X.staged(spark, sf_dir).select("pos", D.feed_date(raw).alias("published_at"))
 
 
+@query(
+    "feed_date_forms",
+    X.with_sql(
+        X.STAGED,
+        """
+        SELECT pos, strftime(published_on, '%Y-%m-%d') || CASE pos % 7 WHEN 0 THEN ' 21:05:00' WHEN 1 THEN ' 00:30:00' WHEN 4 THEN ' 10:00:05'
+          WHEN 5 THEN ' 10:00:00' WHEN 6 THEN ' 23:59:59' ELSE ' 00:00:00' END AS published_at FROM staged""",
+    ),
+)
+def feed_date_forms(spark, sf_dir):
+    """Rarer forms: AM and PM, years of two digits, the year last, no-break spaces."""
+    d, m = F.col("published_on"), F.col("pos") % 7
+    raw = (
+        F.when(m == 0, F.date_format(d, "EEE, d MMM yyyy' 9:05 PM'")).when(m == 1, F.date_format(d, "d MMM yyyy' 12:30 am'"))
+        .when(m == 2, F.date_format(d, "dd MMM yy")).when(m == 3, F.translate(F.date_format(d, "d MMMM yyyy"), " ", "\u00a0"))
+        .when(m == 4, F.date_format(d, "EEE MMM d '10:00:05 UTC' yyyy")).when(m == 5, F.date_format(d, "EEE MMM  d '10:00:00' yyyy"))
+        .otherwise(F.date_format(d, "EEEE dd-MMM-yyyy' 23:59:59 EST'"))
+    )
+    return X.staged(spark, sf_dir).select("pos", D.feed_date(raw).alias("published_at"))
+
+
+@query(
+    "text_date_blanks",
+    X.with_sql(X.STAGED, "SELECT pos, CASE pos % 5 WHEN 4 THEN '' ELSE strftime(published_on, '%Y-%m-%d') END AS found FROM staged"),
+)
+def text_date_blanks(spark, sf_dir):
+    """Dates with no-break spaces, line breaks and long runs of blanks between their parts."""
+    d, m = F.col("published_on"), F.col("pos") % 5
+    mention = (
+        F.when(m == 0, F.translate(F.date_format(d, "d MMMM yyyy"), " ", "\u00a0")).when(m == 1, F.regexp_replace(F.date_format(d, "d MMMM yyyy"), " ", " \n\t "))
+        .when(m == 2, F.regexp_replace(F.date_format(d, "MMMM d, yyyy"), " ", " " * 40)).when(m == 3, F.regexp_replace(F.date_format(d, "d'th of 'MMM., yyyy"), " ", " " * 7))
+        .otherwise(F.date_format(d, "d. MMMM 'in the year' yyyy"))
+    )
+    text = F.concat_ws(" ", "content", F.lit("on"), mention, F.lit("and"), "title")
+    return X.staged(spark, sf_dir).select("pos", D.text_date(text).alias("found"))
+
+
 # A document with a date written into it, in one of several forms.
 @query(
     "text_date",

@@ -12,6 +12,7 @@ from articleflow.plans.incremental import RECENT_NEW, canonical_sql
 from articleflow.plans.registry import ORACLES, query
 from articleflow.schema import ARTICLE_FIELDS, VERDICT_FIELDS
 from articleflow.session import settle, work_dir
+from articleflow.sources import articles as A
 from articleflow.sources import history as H
 from articleflow.sources import snapshots, tables
 from articleflow.streaming.ingest import load_batch
@@ -106,3 +107,30 @@ def batch_snapshot(spark, sf_dir):
     tables.publish_batch(rows, path, "2024-01-31")
     tables.publish_batch(rows.limit(0), path, "2024-01-30")
     return tables.read_batches(spark, path).select(*ARTICLE_FIELDS)
+
+
+@query(
+    "write_counters",
+    X.with_sql(
+        X.STAGED,
+        """
+        SELECT count(*) AS rows, count(*) FILTER (WHERE pos % 7 IN (3, 5)) AS malformed, min(pos) FILTER (WHERE pos % 7 IN (3, 5)) AS first_bad,
+               count(*) FILTER (WHERE title = '' AND pos % 7 NOT IN (3, 5)) AS untitled, count(*) FILTER (WHERE pos % 7 NOT IN (3, 5)) AS stored FROM staged""",
+    ),
+)
+def write_counters(spark, sf_dir):
+    """CSV records of three columns, some with one less or more, counted on their way into the table."""
+
+    m = F.col("pos") % 7
+    fields = F.when(m == 3, F.array("source", "content")).when(m == 5, F.array("source", "title", "content", "url")).otherwise(F.array("source", "title", "content"))
+    quoted_fields = F.transform(fields, lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"')))
+    lines = X.staged(spark, sf_dir).select("pos", F.array_join(quoted_fields, ",").alias("line"))
+    path = work_dir(spark, "write-counters")
+    records = A.parse_lines(lines, "line", ["source", "title", "content"])
+    bad = F.col(A.BAD).isNotNull()
+    counts = tables.write_counted(
+        records, lambda df: tables.publish_batch(df.filter(~bad), path, "2024-01-31"),
+        rows=F.count(F.lit(1)), malformed=F.count(F.when(bad, 1)), first_bad=F.min(F.when(bad, F.col("pos"))), untitled=F.count(F.when(~bad & (F.coalesce("title", F.lit("")) == ""), 1)),
+    )
+    named = [F.lit(v).cast("long").alias(k) for k, v in counts.items()]
+    return tables.read_batches(spark, path).agg(F.count("*").alias("stored")).select(*named, "stored")

@@ -208,6 +208,30 @@ def keyword_prefilter(spark, sf_dir):
     return found.select("pos", F.col("matched").cast("bigint").alias("matched"))
 
 
+# Terms of two and three words, from the titles; every fifth document brings its own.
+RUNS = X.STAGED + """,
+named AS (SELECT pos, regexp_extract_all(lower(title), '[\\p{L}\\p{N}]+') AS w FROM staged WHERE pos % 5 = 0),
+terms AS (
+  SELECT DISTINCT array_to_string(list_slice(w, i, i + n - 1), ' ') AS run, n
+  FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM named, (SELECT unnest([2, 3]) AS n) s)),
+texts AS (SELECT pos, regexp_extract_all(lower(title || ' ' || content), '[\\p{L}\\p{N}]+') AS w FROM staged),
+made AS (
+  SELECT DISTINCT pos, array_to_string(list_slice(w, i, i + n - 1), ' ') AS run
+  FROM (SELECT pos, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM texts, (SELECT unnest([2, 3]) AS n) s))"""
+
+
+@query("keyword_table", X.with_sql(RUNS, "SELECT pos, count(*) AS matched FROM made WHERE run IN (SELECT run FROM terms) GROUP BY pos"))
+def keyword_table(spark, sf_dir):
+    """A table of terms, as many as the titles give, against whole articles."""
+    s = X.staged(spark, sf_dir)
+    w = s.filter("pos % 5 = 0").select(J.term_words(F.col("title")).alias("w"))
+    runs = [
+        w.filter(F.size("w") >= n).select(F.explode(F.sequence(F.lit(1), F.size("w") - (n - 1))).alias("i"), "w").select(F.array_join(F.slice("w", F.col("i"), F.lit(n)), " - ").alias("term"))
+        for n in (2, 3)
+    ]
+    return J.keyword_table(s, runs[0].union(runs[1]), "pos", ["title", "content"])
+
+
 SCORED = " + ".join(f"CAST(contains(lower(p), '{t}') AS BIGINT)" for t in TERMS)
 
 

@@ -89,17 +89,19 @@ def validate_headers(spark: SparkSession, path: str, columns: list[str] | None =
     return first.select("file", width.alias("columns"), ((width == expected) | (width == 0)).alias("ok"))
 
 
+def parse_lines(lines: DataFrame, line: str, columns: list[str]) -> DataFrame:
+    """CSV records held in a column: the other columns, the fields, and ``BAD`` with a record that has
+    too few or too many of them (null for a sound one)."""
+    keep = [c for c in lines.columns if c != line]
+    schema = ", ".join([*[f"`{c}` string" for c in columns], f"{BAD} string"])
+    parsed = F.from_csv(F.col(line), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "escape": '"'})
+    return lines.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
+
+
 def validate_lines(lines: DataFrame, line: str, pos: str, columns: int) -> DataFrame:
     """The same check on CSV records held in a column; ``first_bad`` is a position."""
-    schema = ", ".join([*[f"c{i} string" for i in range(columns)], f"{BAD} string"])
-    parsed = lines.select(
-        pos,
-        F.from_csv(
-            F.col(line), schema,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "escape": '"'},
-        ).alias("r"),
-    )
-    bad = F.col("r")[BAD].isNotNull()
+    parsed = parse_lines(lines.select(pos, line), line, [f"c{i}" for i in range(columns)])
+    bad = F.col(BAD).isNotNull()
     return parsed.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(F.when(bad, F.lit(1))).alias("malformed"),

@@ -9,7 +9,9 @@ to a new path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +93,14 @@ def _rewrite(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_counted(rows: DataFrame, write: Callable[[DataFrame], object], /, **measures: Column) -> dict[str, int]:
+    """``write(rows)``, and aggregates over the rows that pass by on the way: counting costs no
+    second read of what the rows are made from. A failed write raises and counts nothing."""
+    seen = Observation()
+    write(rows.observe(seen, *(m.alias(n) for n, m in measures.items())))
+    return seen.get
+
+
 def write_evaluated(df: DataFrame, path: str) -> None:
     """Evaluated rows as JSON or CSV by the suffix of ``path``, else as Parquet."""
     if path.endswith(".json"):
