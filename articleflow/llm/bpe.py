@@ -2,7 +2,7 @@
 
 The vocabulary file is read as it is: Unicode NFC, white space to one blank, lower case, split into
 words, bytes as printable characters, merges with an end-of-word mark, no decoder. Frequent words
-of the corpus are encoded once and compiled into a transducer that the tasks map into memory;
+of the corpus are encoded once and compiled into transducers that the tasks map into memory;
 any other word is merged pair by pair.
 """
 
@@ -16,6 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,9 +31,11 @@ from articleflow.llm.files import Output
 from articleflow.llm.transducer import Transducer, compile_words, map_shared
 from articleflow.session import settle, work_dir
 
-# Words in the transducer; words that a task remembers, and words it counts before passing them on.
-LEXICON = 1 << 17
-MEMO = 80_000
+# Words in the lexicon and the transducers that share them; words that a task remembers twice over, and words
+# it counts before passing them on.
+LEXICON = 1 << 20
+SHARDS = 8
+MEMO = 200_000
 COUNTED = 250_000
 # Below this code point NFC changes nothing and lower case stays below or is no letter.
 SIMPLE = 0x180
@@ -130,22 +133,36 @@ class Vocabulary:
 class Encoder(dict):
     """Words to (number of ids, ids, token names): memory, then transducer, then merges."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None):
+    def __init__(self, vocabulary: Vocabulary, lexicon: list[Transducer] | None):
         super().__init__()
         self.vocabulary = vocabulary
-        self.lexicon = lexicon
+        self.lexicon = lexicon or []
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def __missing__(self, word: str) -> tuple[int, str, str]:
-        ids = self.lexicon.get(word.encode()) if self.lexicon else None
-        if ids is None:
-            ids = self.vocabulary.merge(word)
-        names = self.vocabulary.names
-        got = (len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids]))
+        got = self.older.get(word) or self.looked_up(word) or self.merged(word)
         if len(self) >= MEMO:
+            # Words used since the last time stay; those before them go.
+            self.older = dict(self)
             self.clear()
         self[word] = got
         return got
 
+    def looked_up(self, word: str) -> tuple[int, str, str] | None:
+        if not self.lexicon:
+            return None
+        content = word.encode()
+        shard = self.lexicon[crc32(content) % len(self.lexicon)]
+        number = shard.find(content)
+        if number < 0:
+            return None
+        ids, names = shard.text(number).split("\n")
+        return ids.count(" ") + 1, ids, names
+
+    def merged(self, word: str) -> tuple[int, str, str]:
+        ids, names = self.vocabulary.merge(word), self.vocabulary.names
+        return len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids])
+
     def encode(self, text: str) -> tuple[int, str, str]:
         """Number of ids, ids and token names, each joined by one blank."""
         found = list(map(self.__getitem__, self.vocabulary.pieces(text)))
@@ -177,14 +194,37 @@ def word_counts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     return df.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(df: DataFrame, path: str, text: str = "text", size: int = LEXICON) -> str:
-    """Compile the most frequent words of all texts, at most ``size``; the file's place in the shared folder."""
-    rows = most_frequent(settle(word_counts(df, path, text), "words"), "n", size).collect()
-    vocabulary = Vocabulary(path)
-    place = f"{work_dir(df.sparkSession, 'lexicon')}/words.bin"
-    with Output(place) as out:
-        out.write(compile_words({r.word.encode(): vocabulary.merge(r.word) for r in rows}))
-    return place
+def build_lexicon(df: DataFrame, path: str, text: str = "text", size: int = LEXICON, shards: int = SHARDS) -> str:
+    """Compile the most frequent words of all texts, at most ``size``; a folder in the shared one.
+
+    The words are dealt out by a hash to ``shards`` transducers, each compiled by one task; a
+    shard has about ``size / shards`` words, whatever the corpus.
+    """
+    folder = work_dir(df.sparkSession, "lexicon")
+    rows = most_frequent(settle(word_counts(df, path, text), "words"), "n", size)
+    dealt = rows.select("word", F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(shards)).cast("int").alias("shard"))
+    every = df.sparkSession.range(shards).select(F.lit(None).cast("string").alias("word"), F.col("id").cast("int").alias("shard"))
+
+    def compiled(t: pa.Table) -> pa.Table:
+        vocabulary = Vocabulary(path)
+        shard = t.column("shard")[0].as_py()
+        merged = {w: vocabulary.merge(w) for w in t.column("word").to_pylist() if w is not None}
+        names = vocabulary.names
+        texts = {w.encode(): " ".join(map(str, ids)) + "\n" + " ".join([names[i] for i in ids]) for w, ids in merged.items()}
+        with Output(f"{folder}/{shard:04d}.bin") as out:
+            out.write(compile_words({w.encode(): ids for w, ids in merged.items()}, texts))
+        return pa.table({"shard": pa.array([shard], pa.int32())})
+
+    # One task for each transducer, also where there are few words.
+    made = dealt.union(every).repartition(shards, "shard").groupBy("shard").applyInArrow(compiled, "shard int")
+    if made.agg(F.sum("shard")).first()[0] != shards * (shards - 1) // 2:
+        raise RuntimeError("a part of the lexicon is missing")
+    return f"{folder}#{shards}"
+
+
+def open_lexicon(place: str) -> list[Transducer]:
+    folder, shards = place.rsplit("#", 1)
+    return [Transducer(map_shared(f"{folder}/{i:04d}.bin")) for i in range(int(shards))]
 
 
 def encode(df: DataFrame, path: str, lexicon: str | None = None, text: str = "text", keep: list[str] | None = None, outputs: str = "digests") -> DataFrame:
@@ -198,7 +238,7 @@ def encode(df: DataFrame, path: str, lexicon: str | None = None, text: str = "te
     texts = outputs == "texts"
 
     def make():
-        encoder = Encoder(Vocabulary(path), Transducer(map_shared(lexicon)) if lexicon else None)
+        encoder = Encoder(Vocabulary(path), open_lexicon(lexicon) if lexicon else None)
 
         def sha(s: str) -> str:
             return hashlib.sha256(s.encode()).hexdigest()
