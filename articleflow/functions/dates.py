@@ -144,12 +144,15 @@ def text_date(text: Column) -> Column:
     """
 
     def found(whole: Column) -> Column:
-        # Long runs of blanks are collapsed first, so the pieces hold a date with its gaps; the
-        # blanks of all others are collapsed in the pieces.
-        narrow = F.when(whole.rlike(f"[{WS}]{{{_RUN + 1}}}"), F.regexp_replace(whole, _BLANKS, " ")).otherwise(whole)
-        pieces = F.regexp_replace(bind(narrow, _around_years), _BLANKS, " ")
+        # Blanks are collapsed in the pieces. Where a piece holds a long run of them, so that a date with its gaps
+        # may not fit in it, the whole text is collapsed first.
+        def narrow(pieces: Column) -> Column:
+            again = bind(F.regexp_replace(whole, _BLANKS, " "), _around_years)
+            return F.when(pieces.rlike(f"[{WS}]{{{_RUN + 1}}}"), again).otherwise(F.regexp_replace(pieces, _BLANKS, " "))
+
+        single = bind(bind(whole, _around_years), narrow)
         # Most texts name no such year: one cheap search decides before the others run.
-        return F.when(whole.rlike("202[2-9]"), bind(pieces, _text_date)).otherwise(F.lit(""))
+        return F.when(whole.rlike("202[2-9]"), bind(single, _text_date)).otherwise(F.lit(""))
 
     return bind(text_of(text), found)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from articleflow.functions.text import clean_multi_line, clean_one_line, first_filled, strip, text_of
 from articleflow.schema import ARTICLE_FIELDS, MULTI_LINE_FIELDS, VERDICT_FIELDS
+from articleflow.session import settle
 
 _KEY = "_dedupe_key"
 # The column an index of keys is partitioned by, and how many values it has.
@@ -104,6 +105,12 @@ def _broadcast(few: DataFrame) -> bool:
     return limit > 0 and int(str(size)) <= limit
 
 
+def sized(few: DataFrame, name: str) -> DataFrame:
+    """``few`` with a size that Spark knows: an estimate too large to broadcast by is replaced by the
+    size of the table once it is written."""
+    return few if _broadcast(few) else settle(few, name)
+
+
 def spread_join(rows: DataFrame, few: DataFrame, keys: list[str], how: str, hot_rows: int | None = None) -> DataFrame:
     """Join rows to a table with one row for each key, whatever share of the rows a key has.
 

@@ -36,6 +36,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSess
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="articleflow-"))
+        # Don't record the Python line of every column expression: plans here have thousands of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

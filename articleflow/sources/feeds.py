@@ -10,7 +10,7 @@ from articleflow.functions.dates import entry_date
 from articleflow.functions.text import (
     absolute_url, clean_one_line, content_type, first_filled, html_text, make_uid, strip, text_of,
 )
-from articleflow.operators.incremental import spread_join
+from articleflow.operators.incremental import sized, spread_join
 
 ITEM_SCHEMA = (
     "title string, link string, pubDate string, published string, `dc:date` string, "
@@ -183,7 +183,7 @@ def resolve_entries(entries: DataFrame, registry: DataFrame, current_year: int)
     if entries.isStreaming:
         joined = entries.join(registry, "feed_url")
     else:
-        joined = spread_join(entries, registry, ["feed_url"], "inner")
+        joined = spread_join(entries, sized(registry, "registry"), ["feed_url"], "inner")
     link = absolute_url(F.col("link"), F.col("base_url"))
     search = F.concat(text_of(F.col("title")), F.lit(" "), text_of(F.col("summary")))
     keep = [c for c in entries.columns if c not in ("title", "link", "date_raw", "summary")]
