@@ -300,7 +300,8 @@ def to_warc(files: DataFrame, folder: str) -> DataFrame:
     converts it.
     """
     spark = files.sparkSession
-    each = files.repartition(max(1, min(files.count(), 10_000)), "file")
+    tasks = max(1, files.count())
+    each = files.repartition(tasks, "file")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -334,7 +335,8 @@ def to_warc(files: DataFrame, folder: str) -> DataFrame:
                 out.write(member(convert(r, file, refers.get(r.number))))
         return pd.DataFrame({"file": [target]})
 
-    return settle(jobs.groupBy("file").applyInPandas(work, "file string"), "warc-files")
+    # The decisions are small beside the files they open: their size must not set the number of tasks.
+    return settle(jobs.repartition(tasks, "file").groupBy("file").applyInPandas(work, "file string"), "warc-files")
 
 
 def read_pages(files: DataFrame) -> DataFrame:
@@ -359,7 +361,7 @@ def read_pages(files: DataFrame) -> DataFrame:
                 yield _batch(rows, [long, long, text, text, long, text, text, text])
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_id string, date string"
-    return files.repartition(max(1, min(files.count(), 10_000)), "file").mapInArrow(run, schema)
+    return files.repartition(max(1, files.count()), "file").mapInArrow(run, schema)
 
 
 def archive(spark: SparkSession, pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
