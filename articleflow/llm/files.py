@@ -25,6 +25,9 @@ class Output:
     def __exit__(self, kind, *_) -> None:
         self.out.close()
         if kind is None:
+            # A task that ran before may have left the same file; not every store moves over one.
+            if self.fs.get_file_info(self.place).type != fs.FileType.NotFound:
+                self.fs.delete_file(self.place)
             self.fs.move(self.part, self.place)
         else:
             self.fs.delete_file(self.part)

@@ -21,13 +21,13 @@ windows with one anchor (a region) is decided together:
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,10 +151,12 @@ def _scan(folder: str, text: str):
     """Batches to chunk files and rows; see step 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             if not batch.num_rows:
                 continue
-            chunk = uuid.uuid4().int >> 65
+            # A task that runs again gives the same numbers and replaces its files.
+            chunk = part << 32 | number
             with Output(f"{folder}/{chunk:016x}.arrow") as out:
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
@@ -344,9 +346,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _window_batch(len(cut), kind=ROW, h=h[mine][o], i=before[cut], w1=w1, w2=w2, chunk=chunk[mine][o], row=row[mine][o], first=p, last=p, open=~repeated[cut])
 
 
-def _repeated_windows(found: DataFrame, folder: str, text: str, limit: int) -> DataFrame:
+def _repeated_windows(found: DataFrame, folder: str, text: str, limit: int, tasks: int) -> DataFrame:
     """Runs (chunk, row, first, last) of the regions that were left to compare."""
-    taken = found.where(F.col("kind") == REGION).groupBy("chunk").applyInArrow(_take_bytes(folder, text), _BYTES)
+    taken = found.where(F.col("kind") == REGION).repartition(tasks, "chunk").groupBy("chunk").applyInArrow(_take_bytes(folder, text), _BYTES)
     taken = settle(taken, "regions")
     large = taken.groupBy("h").agg(F.count("*").alias("size")).where(F.col("size") > limit)
     slices = F.coalesce(F.ceil(F.col("size") / limit), F.lit(1)).cast("long")
@@ -390,6 +392,7 @@ def remove_repeats(df: DataFrame, text: str = "text", keep: list[str] | None = N
     table, in the same text or another; all occurrences go. Strings never cross texts and are
     judged on the input. ``outputs="text"`` gives kept_text, in which a character that is removed
     only in part stays, and removed_spans (bytes); ``"digest"`` gives kept_sha256 of the remaining bytes.
+    ``df`` is best a stored table: a task that has to run again must read the same rows in the same order.
     Null and empty texts have no bytes. Repeated rows repeat each other and are removed. The
     result has one row for each row; columns of ``df`` with the new names give way.
     """
@@ -403,9 +406,9 @@ def remove_repeats(df: DataFrame, text: str = "text", keep: list[str] | None = N
     found = settle(rows.repartition("key").mapInArrow(_decide, _ROWS), "decided")
     runs = found.where(F.col("kind") == RUN).select("chunk", "row", F.shiftright("at", 32).alias("first"), F.col("at").bitwiseAND((1 << 32) - 1).alias("last"))
     chunks = found.where(F.col("kind") == CHUNK).select("chunk", F.lit(-1).alias("row"), F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("last"))
-    everything = runs.union(_repeated_windows(found, folder, text, limit)).union(chunks)
     # The decisions are small beside the texts they open: their size must not set the number of tasks.
-    tasks = max(1, min(chunks.count(), 10_000))
+    tasks = max(1, chunks.count())
+    everything = runs.union(_repeated_windows(found, folder, text, limit, tasks)).union(chunks)
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     types = [to_arrow_type(f.dataType) for f in fields]
 
