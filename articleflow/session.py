@@ -73,24 +73,3 @@ def remove(spark: SparkSession, path: str) -> bool:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     place = jvm.org.apache.hadoop.fs.Path(path)
     return bool(place.getFileSystem(conf).delete(place, True))
-
-
-class Scratch:
-    """Settled tables with an owner, who removes them once nothing reads them any more."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.paths: dict[str, str] = {}
-
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
-        """As ``settle``; a table of the same name goes when the new one is there."""
-        path = work_dir(self.spark, name)
-        df.write.parquet(path)
-        self.drop(name)
-        self.paths[name] = path
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        for name in names or list(self.paths):
-            if name in self.paths:
-                remove(self.spark, self.paths.pop(name))
