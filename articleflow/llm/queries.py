@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from articleflow.llm import archive, bpe, chat, codes, decontaminate, dialogue, language, lm, quality, repeats, rollup, simhash, toxicity
 from articleflow.llm.common import bucket, table
+from articleflow.operators.incremental import spread_join
 from articleflow.session import configure, settle, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,7 +168,8 @@ _COUNTS = r"""
 @query("op8_rollup", _COUNTS)
 def op8_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; exact copies are deleted but for the smallest id; of the others,
-    those with repeated lines are counted anew without them; the deletes come a second time."""
+    those with repeated lines are counted anew without them; the deletes come a second time, before and after
+    the first batches have gone into the running total."""
     once = F.array_join(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n")), "\n")
     docs = table(spark, sf_dir, "documents")
     counts = [rollup.counted(F.col("text"), v).alias(f"n{i}") for i, v in enumerate(rollup.VERSIONS)]
@@ -177,7 +179,7 @@ def op8_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = {v: F.col(f"n{i}") for i, v in enumerate(rollup.VERSIONS)}
     after = {v: F.col(f"r{i}") for i, v in enumerate(rollup.VERSIONS)}
     first = docs.groupBy("key").agg(F.min("doc_id").alias("first_id"))
-    known = docs.join(first, "key")
+    known = spread_join(docs, first, ["key"], "inner")
     copy = F.coalesce(F.coalesce(F.col("doc_id") != F.col("first_id"), F.lit(True)) & F.col("first_id").isNotNull(), F.lit(False))
     changed = F.array(*before.values()) != F.array(*after.values())
     root = work_dir(spark, "rollup")
@@ -185,6 +187,8 @@ def op8_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(rollup.deletes(known.where(copy), before), root, 2)
     rollup.commit(rollup.revisions(known.where(~copy & changed), before, after), root, 3)
     rollup.commit(rollup.deletes(known.where(copy), before), root, 2)
+    rollup.compact(spark, root, 2)
+    rollup.commit(rollup.deletes(known.where(copy), before), root, 2)
     return rollup.totals(spark, root)
 
 

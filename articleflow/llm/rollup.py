@@ -1,9 +1,10 @@
 """Token totals by source, language and tokenizer version, kept up to date by signed batches.
 
 A batch is a set of signed changes: an insert adds a document and its tokens, a delete takes both
-back, a revised count adds the difference. Each batch is summed before it is stored, in a folder
-named by its number; committing it again replaces that folder, so a replay changes nothing.
-Totals are the sums over all batches.
+back, a revised count adds the difference. Each batch is summed before it is stored, as a slot of a snapshot table
+named by its number; committing it again replaces that slot, so a replay changes nothing, and a commit that
+dies is not seen. Totals are the sums over the running total and the batches since; ``compact`` moves
+batches into the running total in one commit.
 """
 
 from __future__ import annotations
@@ -12,9 +13,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from articleflow.sources import snapshots
 
 KEYS = ["source", "lang", "version"]
-SCHEMA = "source string, lang string, version string, docs long, tokens long"
+STORED = T.StructType(
+    [T.StructField(k, T.StringType()) for k in KEYS] + [T.StructField("docs", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("batch", T.LongType())]
+)
 # Tokenizer versions: words between ASCII blanks; runs of letters and digits, and single other signs.
 VERSIONS = {"words-1": r"[^\x20\x09-\x0D]+", "words-2": r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]"}
 
@@ -47,17 +53,42 @@ def revisions(df: DataFrame, before: dict[str, Column], after: dict[str, Column]
 def commit(changes: DataFrame | list[DataFrame], root: str, batch: int) -> None:
     """Store one batch, summed by KEYS. An empty batch is stored as such; a source or language
     that is null is a group of its own. The keys are few, so what is stored does not grow with
-    the batch, and the sums are taken before the shuffle, whatever source is hot."""
+    the batch, and the sums are taken before the shuffle, whatever source is hot. A batch that the running
+    total holds already stays as it is."""
     parts = changes if isinstance(changes, list) else [changes]
+    spark = parts[0].sparkSession
+    if batch <= _merged(spark, root):
+        return
     rows = reduce(DataFrame.union, [p.select(*KEYS, "docs", "tokens") for p in parts])
     sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-    sums.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch={batch:012d}")
+    snapshots.publish(sums.withColumn("batch", F.lit(batch).cast("long")), root, f"totals/batch/{batch:012d}")
+
+
+def _merged(spark: SparkSession, root: str) -> int:
+    """The last batch in the running total; -1 if there is none."""
+    found = [int(s.rsplit("/", 1)[1]) for s in snapshots.live(spark, root, "totals/running/")]
+    return max(found, default=-1)
+
+
+def compact(spark: SparkSession, root: str, upto: int) -> None:
+    """Move the batches up to number ``upto`` into the running total. Totals don't change; from then on
+    these batches are settled, and totals before ``upto`` can't be asked for any more."""
+    live = snapshots.live(spark, root, "totals/")
+    taken = [s for s in live if int(s.rsplit("/", 1)[1]) <= upto]
+    if not taken:
+        return
+    rows = snapshots.read(spark, root, "totals", STORED, taken)
+    sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
+    folder = snapshots.stage(sums.withColumn("batch", F.lit(upto).cast("long")), root, "totals")
+    snapshots.commit(spark, root, {**dict.fromkeys(taken), f"totals/running/{upto:012d}": folder})
 
 
 def totals(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
     """Sums over all committed batches, or those numbered up to ``upto``; groups with no document
     and no token left are not listed."""
-    rows = spark.read.schema(f"{SCHEMA}, batch long").parquet(root)
+    if upto is not None and upto < _merged(spark, root):
+        raise ValueError(f"the running total holds batches after {upto}")
+    rows = snapshots.read(spark, root, "totals", STORED)
     if upto is not None:
         rows = rows.where(F.col("batch") <= upto)
     sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))

@@ -193,6 +193,19 @@ def test_lm_frequent_pairs_or_joined_ones_give_the_same(spark, monkeypatch):
     assert untrained.train_tokens == 0 and untrained.score == pytest.approx(8 * np.log10(0.5), abs=0.3)
 
 
+def test_lm_in_small_batches_gives_the_same(spark):
+    df = frame(spark).withColumn("train", F.lit(True)).coalesce(1)
+    first = sorted((str(r.doc_id), r.text or "", r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm.score(df, "train").collect())
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((str(r.doc_id), r.text or "", r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm.score(df, "train").collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [x[:4] for x in got] == [x[:4] for x in first]
+    assert all(a[4] == pytest.approx(b[4], rel=1e-4) for a, b in zip(got, first, strict=True))
+
+
 def test_probabilities_add_up():
     tokens = [b"a", b"ab", b"b", mixing.END] * 3
     topics = np.array([0, 1, 0, 1] * 3)
@@ -221,6 +234,14 @@ def test_rollup(spark, tmp_path):
     assert got == {("a", "en", "words-1"): (2, 8), ("a", "en", "words-2"): (2, 9), ("a", None, "words-1"): (1, 0), ("a", None, "words-2"): (1, 0)}
     early = rollup.totals(spark, root, upto=1).where("source is null and version = 'words-1'").first()
     assert (early.n_docs, early.n_tokens) == (1, 2)
+    for upto in (2, 2, 3):
+        rollup.compact(spark, root, upto)
+        rollup.commit(rollup.deletes(docs.where("doc_id = 2"), counts), root, 2)  # a replay of a settled batch
+        assert {(r.source, r.lang, r.version): (r.n_docs, r.n_tokens) for r in rollup.totals(spark, root).collect()} == got
+    rollup.commit(rollup.deletes(docs.where("doc_id = 1"), counts), root, 5)
+    assert {(r.source, r.lang, r.version): r.n_docs for r in rollup.totals(spark, root).collect()}["a", "en", "words-1"] == 1
+    with pytest.raises(ValueError):
+        rollup.totals(spark, root, upto=1)
 
 
 def test_most_frequent(spark):
