@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 def create_history(spark: SparkSession, path: str) -> None:
     """An empty history where there is none yet."""
+    try:
+        read_history(spark, path)
+        return
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     empty = spark.createDataFrame([], HISTORY)
     empty.write.mode("append").partitionBy("run_id", "load_id").parquet(path)
 
