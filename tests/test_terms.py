@@ -65,3 +65,36 @@ def test_counting_reads_nothing_twice(spark, tmp_path):
     assert stored == {("a", "b"), ('x "y"', "p\nq"), ("", "")}
     none = T.write_counted(records.limit(0), lambda df: T.publish_batch(df, path, "d"), rows=F.count(F.lit(1)))
     assert none == {"rows": 0} and T.read_batches(spark, path).count() == 0
+
+
+def shuffled_rows(plan):
+    """Rows that the shuffles of an executed plan wrote."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled_rows(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return shuffled_rows(plan.plan())
+    own = plan.metrics().get("shuffleRecordsWritten")
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    return (own.get().value() if own.isDefined() else 0) + sum(map(shuffled_rows, children))
+
+
+def test_runs_in_no_term_are_dropped_before_the_shuffle(spark):
+    words = [f"w{i}" for i in range(1000)]
+    df = spark.createDataFrame([(i, " ".join(words[i:] + words[:i])) for i in range(50)], "pos long, t string")
+    terms = spark.createDataFrame([(f"{words[i]} {words[i + 1]}",) for i in range(100, 130)] + [("w5 - w7",)], "term string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = J.keyword_table(df, terms, "pos", ["t"])
+        assert {r.pos: r.matched for r in found.collect()} == dict.fromkeys(range(50), 30)
+        # The runs in terms, twice (to count and to join), the terms and the counts; not all 49,950 runs.
+        assert shuffled_rows(found._jdf.queryExecution().executedPlan()) < 10_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_filter_keeps_every_key(spark):
+    few = spark.range(0, 30_000, 3).select(F.concat(F.lit("k"), "id").alias("key"))
+    rows = spark.range(30_000).select("id", F.concat(F.lit("k"), "id").alias("key")).union(spark.createDataFrame([(-1, None)], "id long, key string"))
+    got = [r.id for r in J.may_be_in(rows, few, "key", 10_000).collect()]
+    assert len(got) == len(set(got)) and {i for i in range(0, 30_000, 3)} <= set(got) and len(got) < 12_000
+    assert J.may_be_in(rows, few, "key", 1).filter("id % 3 = 0").count() == 10_000
